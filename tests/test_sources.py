@@ -68,3 +68,15 @@ def test_stream_ingest_appends_new_files_once(spark):
 def test_load_decimal_types(spark):
     t = make_tables(spark, fact_orders=[order(1, 2, price=Decimal("12.34"))])
     assert str(t["fact_orders"].schema["product_price"].dataType) == "DecimalType(10,2)"
+
+
+def test_register_views_runs_sql(spark):
+    from tillpoint.sources.views import register_views
+
+    t = make_tables(spark, fact_orders=[order(1, 2, day=D(2021, 5, 1))],
+                    dim_promotions=[dict(promotion_id=1, product_sku=2, start_date=D(2021, 5, 1), end_date=D(2021, 5, 2))])
+    names = register_views(spark, t, as_of="2021-06-01")
+    assert "customer_rfm" in names
+    got = spark.sql("SELECT COUNT(*) AS n FROM fact_orders_with_promo WHERE is_promotion_active").first()["n"]
+    assert got == 1
+    assert spark.sql("SELECT recency FROM customer_rfm").first()["recency"] == 31

@@ -31,8 +31,8 @@ def calendar_between(bounds: DataFrame, holidays: DataFrame | None = None) -> Da
     )
     if holidays is None:
         return cal.withColumn("is_holiday", F.lit(False))
-    # Holidays are a subset of calendar days: bounded by the calendar's length.
-    h = F.broadcast(holidays.select(F.col("date").cast("date").alias("date")).distinct().withColumn("_h", F.lit(True)))
+    # Holiday lists are small in practice; the join strategy is left to AQE's size check.
+    h = holidays.select(F.col("date").cast("date").alias("date")).distinct().withColumn("_h", F.lit(True))
     return cal.join(h, "date", "left").withColumn("is_holiday", F.coalesce(F.col("_h"), F.lit(False))).drop("_h")
 
 

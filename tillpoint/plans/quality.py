@@ -57,25 +57,52 @@ def fk_orphans(child: DataFrame, parent: DataFrame, key: str, parent_key: str |
 def fk_report(t: Tables) -> DataFrame:
     """dq2 for every declared foreign key: (table_name, column_name, parent_table, orphan_rows).
 
-    Child keys are counted per value first (partial aggregation), so the
-    anti-join moves one row per distinct key, not one per fact row."""
+    Each child table is read once: its foreign-key columns are stacked into
+    (column, key) rows and counted per distinct key (partial aggregation); one
+    anti-join against the parents' keys, stacked the same way, finds the orphans
+    of all its foreign keys together, and one conditional aggregate counts them
+    per column. The join therefore moves one row per distinct key value, not one
+    per fact row, and no fact table is scanned more than once.
+    """
     parts = []
     for spec in SPECS.values():
         if spec.name not in t:
             continue
-        for col, parent, pcol in spec.foreign_keys:
-            if parent not in t or col not in t[spec.name].columns:
-                continue
-            keys = t[spec.name].where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
-            orphans = fk_orphans(keys, t[parent], col, pcol)
-            parts.append(
-                orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("orphan_rows")).select(
+        child = t[spec.name]
+        fks = [(c, p, pc) for c, p, pc in spec.foreign_keys if p in t and c in child.columns]
+        if not fks:
+            continue
+        key_type = child.schema[fks[0][0]].dataType
+        cast = key_type if all(child.schema[c].dataType == key_type for c, _, _ in fks) else T.StringType()
+        stacked = child.select(
+            F.explode(
+                F.array(*[F.struct(F.lit(c).alias("_col"), F.col(c).cast(cast).alias("_key")) for c, _, _ in fks])
+            ).alias("_s")
+        ).select("_s._col", "_s._key")
+        counts = stacked.where(F.col("_key").isNotNull()).groupBy("_col", "_key").agg(F.count(F.lit(1)).alias("_n"))
+        parents = reduce(
+            DataFrame.unionByName,
+            [t[p].select(F.lit(c).alias("_col"), F.col(pc).cast(cast).alias("_key")) for c, p, pc in fks],
+        ).distinct()
+        orphans = counts.join(parents, ["_col", "_key"], "left_anti")
+        totals = orphans.agg(
+            *[
+                F.coalesce(F.sum(F.when(F.col("_col") == c, F.col("_n"))), F.lit(0)).cast("long").alias(f"_o{i}")
+                for i, (c, _, _) in enumerate(fks)
+            ]
+        )
+        rows = F.array(
+            *[
+                F.struct(
                     F.lit(spec.name).alias("table_name"),
-                    F.lit(col).alias("column_name"),
-                    F.lit(parent).alias("parent_table"),
-                    "orphan_rows",
+                    F.lit(c).alias("column_name"),
+                    F.lit(p).alias("parent_table"),
+                    F.col(f"_o{i}").alias("orphan_rows"),
                 )
-            )
+                for i, (c, p, _) in enumerate(fks)
+            ]
+        )
+        parts.append(totals.select(F.explode(rows).alias("_r")).select("_r.*"))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -8,6 +8,21 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
+# Settings for a large cluster (about 100 TB of facts). Shuffles after partial
+# aggregation are far smaller than the scans, so AQE starts from many shuffle
+# partitions and coalesces them to the advisory size; skewed join partitions are split.
+CLUSTER_SETTINGS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.parquet.filterPushdown": "true",
+}
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "tillpoint") -> SparkSession:
     """Session for tests and local runs; on a cluster the launcher's settings win."""
     spark = (
