@@ -102,9 +102,9 @@ dim_date AS (
            CAST(quarter(d) AS INTEGER) AS quarter,
            dayname(d) AS weekday,
            false AS is_holiday
-    FROM (SELECT unnest(generate_series(CAST(MIN(order_date) AS TIMESTAMP), CAST(MAX(order_date) AS TIMESTAMP),
-                                        INTERVAL 1 DAY)) AS d
-          FROM fact_orders)
+    FROM (SELECT unnest(generate_series(CAST(CAST(MIN(o_orderdate) AS DATE) AS TIMESTAMP),
+                                        CAST(CAST(MAX(o_orderdate) AS DATE) AS TIMESTAMP), INTERVAL 1 DAY)) AS d
+          FROM orders)
 ),
 orders_flagged AS (
     SELECT o.*,

@@ -193,7 +193,9 @@ def bind(spark: SparkSession, sf_dir: str) -> Tables:
     def dim_date() -> DataFrame:
         from tillpoint.plans.prep import calendar_between
 
-        bounds = fact_orders().agg(F.min("order_date").alias("start"), F.max("order_date").alias("end"))
+        # Bounds from the order headers alone: one column of the smaller table, no fact join.
+        h = order_header()
+        bounds = h.agg(F.min("order_date").alias("start"), F.max("order_date").alias("end"))
         return calendar_between(bounds)
 
     return Tables(
