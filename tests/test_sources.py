@@ -80,3 +80,17 @@ def test_register_views_runs_sql(spark):
     got = spark.sql("SELECT COUNT(*) AS n FROM fact_orders_with_promo WHERE is_promotion_active").first()["n"]
     assert got == 1
     assert spark.sql("SELECT recency FROM customer_rfm").first()["recency"] == 31
+
+
+def test_cli_ingest_and_run(spark):
+    from tillpoint.__main__ import main
+
+    t = make_tables(spark, fact_orders=[order(1, 2, qty=3, day=D(2021, 5, 1)), order(2, 2, qty=1, day=D(2021, 6, 1))],
+                    dim_products=[dict(product_sku=2, product_name="p", product_category="c")])
+    root = tempfile.mkdtemp(prefix="tp-cli-")
+    prep.export_csv(t, os.path.join(root, "csv"), ["dim_products", "fact_orders"])
+    assert main(["ingest", os.path.join(root, "csv"), os.path.join(root, "tables")]) == 0
+    assert main(["run", "q01_top_products", "q16_monthly_profit", "--tables", os.path.join(root, "tables"),
+                 "--out", os.path.join(root, "out")]) == 0
+    top = spark.read.parquet(os.path.join(root, "out", "q01_top_products")).collect()
+    assert [(r["product_name"], str(r["revenue"])) for r in top] == [("p", "40.00")]
