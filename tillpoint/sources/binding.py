@@ -50,11 +50,27 @@ def _by_key(df: DataFrame, key: str, cols: list[str]) -> DataFrame:
     return df.groupBy(key).agg(*[F.max(c).alias(c) for c in cols])
 
 
+# Column types of the driver's test tables (declared, so no file footer
+# is read to infer them when a query is planned).
+RAW_SCHEMAS = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+}
+
+
 def bind(spark: SparkSession, sf_dir: str) -> Tables:
     sf_dir = sf_dir.rstrip("/")
 
     def raw(name: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        return spark.read.schema(RAW_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
     def geo() -> DataFrame:
         # nation ⋈ region: 25 rows by specification.
