@@ -94,3 +94,16 @@ def test_cli_ingest_and_run(spark):
                  "--out", os.path.join(root, "out")]) == 0
     top = spark.read.parquet(os.path.join(root, "out", "q01_top_products")).collect()
     assert [(r["product_name"], str(r["revenue"])) for r in top] == [("p", "40.00")]
+
+
+def test_ingest_numbers_returns_like_serial(spark):
+    root = tempfile.mkdtemp(prefix="tp-serial-")
+    header = ["order_id", "product_sku", "return_quantity", "return_year", "return_month", "return_day", "returndate"]
+    for batch, rows in enumerate([[[1, 7, 2, 2022, 3, 4, "2022-03-04 05:06:07"], [2, 7, 1, 2022, 1, 4, "2022-01-04 00:00:00"]],
+                                  [[3, 8, 1, 2023, 1, 1, "2023-01-01 00:00:00"]]]):
+        d = os.path.join(root, f"csv{batch}", "fact_returns.csv")
+        os.makedirs(d)
+        _write(os.path.join(d, "part-0.csv"), header, rows)
+        prep.ingest(spark, os.path.join(root, f"csv{batch}"), os.path.join(root, "tables"), names=["fact_returns"])
+    got = sorted((r["return_id"], r["order_id"]) for r in read_tables(spark, os.path.join(root, "tables"))["fact_returns"].collect())
+    assert got == [(1, 2), (2, 1), (3, 3)]

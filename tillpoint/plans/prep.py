@@ -123,13 +123,25 @@ def ingest(
     (the test binding uses long ids and wider decimals)."""
     wanted = names or [s.name for s in LOAD_ORDER]
     for spec in LOAD_ORDER:
-        if spec.name not in wanted or not os.path.exists(os.path.join(csv_dir, f"{spec.name}.csv")):
+        path = os.path.join(csv_dir, f"{spec.name}.csv")
+        if spec.name not in wanted or not os.path.exists(path):
             continue
         df = read_table(spark, spec, csv_dir, schema=(schemas or {}).get(spec.name))
+        if spec.name == "fact_returns" and "return_id" not in spark.read.option("header", True).csv(path).columns:
+            df = _serial_return_ids(spark, df, os.path.join(out_dir, spec.name))
         load_table(df, spec, out_dir, mode="append", typed=schemas is None or spec.name not in schemas)
     return Tables({n: (lambda n=n: scan_table(spark, n, out_dir)) for n in wanted if n in SPECS})
 
 
+def _serial_return_ids(spark: SparkSession, df: DataFrame, existing: str) -> DataFrame:
+    """Assign return_id like a SERIAL column: 1, 2, ... after the largest id already stored."""
+    start = 0
+    if os.path.exists(existing):
+        start = spark.read.parquet(existing).agg(F.max("return_id")).first()[0] or 0
+    numbered = with_return_id(df.drop("return_id"))
+    return numbered.withColumn("return_id", F.col("return_id") + F.lit(int(start)))
+
+
 def export_csv(t: Tables, csv_dir: str, names: list[str]) -> dict[str, T.StructType]:
     """S2: write tables as CSV folders ``<csv_dir>/<name>.csv``; returns their schemas."""
     schemas = {}
