@@ -219,3 +219,13 @@ def test_enrich_returns_caps_at_ordered(spark):
 def test_promotions_per_month(spark, mode, expected):
     t = make_tables(spark, dim_promotions=[promo(1, 1, D(2021, 1, 20), D(2021, 3, 2))])
     assert promotions.promotions_per_month(t, mode=mode).count() == expected
+
+
+def test_identical_promotions_collapse_but_count(spark):
+    day = D(2021, 3, 10)
+    p = [promo(i, 5, D(2021, 3, 1), D(2021, 3, 15), "a") for i in range(1, 4)]
+    p += [promo(9, 5, D(2021, 3, 1), D(2021, 3, 5), "b"), promo(10, 5, D(2021, 3, 1), D(2021, 3, 9), "b")]
+    t = make_tables(spark, fact_orders=[order(1, 5, day=day, price=10, cost=4, qty=1)], dim_promotions=p)
+    # three identical promotions of campaign a each count the order; campaign b's end before the order
+    assert rows(promotions.top_campaigns_by_profit(t, k=5), "campaign_name", "profit") == [("a", Decimal("18.00"))]
+    assert rows(promotions.orders_with_promo(t), "order_id", "is_promotion_active") == [(1, True)]

@@ -15,9 +15,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def coverage(promotions: DataFrame) -> DataFrame:
+    """The promotions reduced to what coverage depends on: per (SKU, start day) the
+    latest end. Partial aggregation bounds a SKU's rows by the number of calendar
+    days, however many promotions it has."""
+    return promotions.groupBy("product_sku", "start_date").agg(F.max("end_date").alias("end_date"))
+
+
 def promotion_active(promotions: DataFrame, keys_alias: str, sku: str = "product_sku", day: str = "order_date"):
     """Correlated EXISTS column for rows of a frame aliased ``keys_alias``."""
-    p = promotions.select("product_sku", "start_date", "end_date").alias("_promo")
+    p = coverage(promotions).alias("_promo")
     return p.where(
         (F.col("_promo.product_sku") == F.col(f"{keys_alias}.{sku}").outer())
         & F.col(f"{keys_alias}.{day}").outer().between(F.col("_promo.start_date"), F.col("_promo.end_date"))
@@ -37,10 +44,18 @@ def flag_days(
 
 
 def matching_promotions(
-    keys: DataFrame, promotions: DataFrame, *, sku: str = "product_sku", day: str = "order_date"
+    keys: DataFrame, promotions: DataFrame, *, sku: str = "product_sku", day: str = "order_date",
+    by: list[str] | None = None,
 ) -> DataFrame:
-    """Every (key row, promotion) pair whose range covers the day: an inner range join
-    with an equality on SKU, so each key meets only its own SKU's promotions."""
-    p = promotions.withColumnRenamed("product_sku", "_promo_sku")
+    """(key row, promotion group) pairs whose range covers the day, with ``promotions``
+    = how many promotions of the group do. An inner range join with an equality on SKU,
+    so each key meets only its own SKU's promotions; promotions identical in SKU,
+    range and the ``by`` columns are collapsed into one row with their count first."""
+    by = by or []
+    p = (
+        promotions.groupBy("product_sku", "start_date", "end_date", *by)
+        .agg(F.count(F.lit(1)).alias("promotions"))
+        .withColumnRenamed("product_sku", "_promo_sku")
+    )
     cond = (keys[sku] == p["_promo_sku"]) & keys[day].between(p["start_date"], p["end_date"])
     return keys.join(p, cond, "inner").drop("_promo_sku")

@@ -132,6 +132,6 @@ def top_campaigns_by_profit(t: Tables, k: int = 1) -> DataFrame:
     """q44: profit of order rows matched to a promotion (same SKU, date in range),
     per campaign; an order row under two promotions counts for both."""
     d = _sku_days(t, profit=F.sum(profit()))
-    m = matching_promotions(d, t["dim_promotions"].select("product_sku", "start_date", "end_date", "campaign_name"))
-    out = m.groupBy("campaign_name").agg(F.sum("profit").alias("profit"))
+    m = matching_promotions(d, t["dim_promotions"], by=["campaign_name"])
+    out = m.groupBy("campaign_name").agg(F.sum(F.col("profit") * F.col("promotions")).alias("profit"))
     return out.orderBy(F.col("profit").desc_nulls_last(), F.col("campaign_name").asc_nulls_last()).limit(k)
