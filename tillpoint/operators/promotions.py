@@ -6,7 +6,9 @@ table, that join is keyed on SKU only, so one best-selling SKU would land in a
 single task. The analyses therefore first reduce the facts to one row per
 (SKU, day) with map-side partial aggregation, test coverage on those keys (a SKU
 has at most one key per calendar day, whatever the fact volume), and join the
-flag back on (SKU, day) only where row-level output is wanted.
+flag back on (SKU, day) only where row-level output is wanted. The promotions are
+reduced the same way (see ``coverage``), so neither side of the range join can hold
+an unbounded number of rows for one SKU.
 """
 
 from __future__ import annotations
