@@ -181,6 +181,10 @@ def test_quality_checks(spark):
         fact_orders=[order(1, 9)],
         dim_customers=[dict(customer_id=1, loyalty_score=Decimal("9999.9"))],
     )
+    wide = spark.createDataFrame(
+        [(1, Decimal("99999999.99"), "online"), (2, Decimal("100000000.00"), "web")],
+        "retailer_id int, distance_from_warehouse decimal(12,2), retailer_channel string",
+    )
     pk = {tuple(r) for r in quality.pk_violations(t["dim_products"], ["product_sku"]).collect()}
     assert pk == {(1, 2, "duplicate key"), (None, 1, "null key")}
     orphans = quality.fk_orphans(t["fact_orders"], t["dim_products"], "product_sku")
@@ -190,6 +194,9 @@ def test_quality_checks(spark):
     # the declared NUMERIC(5,1) holds at most 9999.9 -> fits; 10000.0 would not
     cust = {(r["column_name"], r["rule"]): r["violations"] for r in quality.domain_violations(t["dim_customers"], "dim_customers").collect()}
     assert cust[("loyalty_score", "not decimal(5,1)")] == 0
+    ret = {(r["column_name"], r["rule"]): r["violations"] for r in quality.domain_violations(wide, "dim_retailers").collect()}
+    assert ret[("distance_from_warehouse", "not decimal(10,2)")] == 1
+    assert ret[("retailer_channel", "outside domain")] == 1
 
 
 def test_calendar(spark):
