@@ -17,7 +17,7 @@ from tillpoint.plans import customers, logistics, prep, products, promotions, qu
 from tillpoint.session import scratch_path
 from tillpoint.tables import Tables
 
-# Reference date standing in for CURRENT_DATE (the day after the last order in the test data).
+# Analysis date standing in for CURRENT_DATE (the day after the last order in the test data).
 AS_OF = "2001-08-02"
 
 

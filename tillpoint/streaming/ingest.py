@@ -45,7 +45,7 @@ def ingest_stream(
     """Start the load of ``landing_dir`` (CSV files with a header) into ``out_root/<name>``.
 
     ``file_columns`` lists the files' columns in order (default: the declared
-    columns; the reference files of fact_returns omit ``return_id``). ``schema``
+    columns; source files of fact_returns may omit ``return_id``). ``schema``
     overrides the declared types. Returns the started query.
     """
     spec = SPECS[name]
