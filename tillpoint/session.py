@@ -46,8 +46,9 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, wiring it into the SparkContext.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is.
-    Only when nothing is configured (local tests) a private folder is created.
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is;
+    without it a cluster job stops with an error. Only in local mode (tests) with
+    nothing configured is a private folder created.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -55,6 +56,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: name a folder on shared storage that every executor can reach"
+            )
         configured = tempfile.mkdtemp(prefix="tillpoint-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
