@@ -107,3 +107,18 @@ def test_ingest_numbers_returns_like_serial(spark):
         prep.ingest(spark, os.path.join(root, f"csv{batch}"), os.path.join(root, "tables"), names=["fact_returns"])
     got = sorted((r["return_id"], r["order_id"]) for r in read_tables(spark, os.path.join(root, "tables"))["fact_returns"].collect())
     assert got == [(1, 2), (2, 1), (3, 3)]
+
+
+def test_quoted_header_csv_ingest(spark):
+    d = tempfile.mkdtemp(prefix="tp-quoted-")
+    with open(os.path.join(d, "dim_promotions.csv"), "w") as fh:
+        fh.write('"promotion_id","product_sku","start_date","end_date","discount_percentage","campaign_name"\n')
+        fh.write('7,3,2022-01-05,2022-02-01,12.5,"spring sale"\n')
+    with open(os.path.join(d, "dim_customers.csv"), "w") as fh:
+        fh.write('"customer_id","customer_name","age_group","gender","region","channel","loyalty_score"\n')
+        fh.write('5,"customer 5","26-35","female","asia","online",49\n')
+    stored = prep.ingest(spark, d, os.path.join(d, "tables"), names=["dim_promotions", "dim_customers"])
+    p = stored["dim_promotions"].first()
+    assert (p["promotion_id"], p["start_date"], str(p["discount_percentage"]), p["campaign_name"]) == (
+        7, D(2022, 1, 5), "12.5", "spring sale")
+    assert str(stored["dim_customers"].first()["loyalty_score"]) == "49.0"
