@@ -70,3 +70,18 @@ def exact_var_samp(n, s1, s2) -> Column:
 
 def exact_stddev_samp(n, s1, s2) -> Column:
     return F.sqrt(exact_var_samp(n, s1, s2))
+
+
+def dated(df, start=None, end=None, col: str = "order_date", year_col: str = "order_year"):
+    """Rows with ``start <= col <= end`` (either bound optional). When the frame carries
+    the stored year partition column, the same bounds are stated on it too, so the
+    Parquet scan prunes the year folders outside the range."""
+    if start is not None:
+        df = df.where(F.col(col) >= F.lit(start).cast("date"))
+        if year_col in df.columns:
+            df = df.where(F.col(year_col) >= F.year(F.lit(start).cast("date")))
+    if end is not None:
+        df = df.where(F.col(col) <= F.lit(end).cast("date"))
+        if year_col in df.columns:
+            df = df.where(F.col(year_col) <= F.year(F.lit(end).cast("date")))
+    return df

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillpoint.functions.measures import as_double, month_start, net_sales, profit, revenue
+from tillpoint.functions.measures import as_double, dated, month_start, net_sales, profit, revenue
 from tillpoint.operators.ranking import with_ntile
 from tillpoint.tables import Tables
 
@@ -105,9 +105,7 @@ def order_frequency(t: Tables) -> DataFrame:
 
 def single_order_customers(t: Tables, start: DateLike | None = None) -> DataFrame:
     """q40: customers with exactly one order row (since ``start`` when given)."""
-    fo = t["fact_orders"]
-    if start is not None:
-        fo = fo.where(F.col("order_date") >= F.lit(start).cast("date"))
+    fo = dated(t["fact_orders"], start)
     return fo.groupBy("customer_id").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") == 1).select("customer_id")
 
 

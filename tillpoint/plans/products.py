@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillpoint.functions.measures import exact_stddev_samp, exact_var_samp, month_start
+from tillpoint.functions.measures import dated, exact_stddev_samp, exact_var_samp, month_start
 from tillpoint.operators.baskets import pair_counts
 from tillpoint.tables import Tables
 
@@ -16,11 +16,7 @@ DateLike = str | dt.date
 
 def products_without_sales(t: Tables, start: DateLike | None = None, end: DateLike | None = None) -> DataFrame:
     """q08: products with no order row (in ``[start, end]`` when given)."""
-    fo = t["fact_orders"]
-    if start is not None:
-        fo = fo.where(F.col("order_date") >= F.lit(start).cast("date"))
-    if end is not None:
-        fo = fo.where(F.col("order_date") <= F.lit(end).cast("date"))
+    fo = dated(t["fact_orders"], start, end)
     p = t["dim_products"].select("product_sku", "product_name")
     return p.join(fo.select("product_sku"), "product_sku", "left_anti")
 

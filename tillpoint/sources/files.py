@@ -122,8 +122,13 @@ def load_table(
     return path
 
 
-def scan_table(spark: SparkSession, name: str, root: str) -> DataFrame:
+def scan_table(spark: SparkSession, name: str, root: str, *, keep_partition_columns: bool = True) -> DataFrame:
+    """A stored table. Its year partition column is kept by default so that date
+    filters can add the matching year predicate (``functions.measures.dated``) and
+    prune whole folders; analyses select their own columns, so it does not leak."""
     df = spark.read.parquet(os.path.join(root, name))
+    if keep_partition_columns:
+        return df
     drop = [p for p in PARTITION_COLUMNS.get(name, ()) if p not in SPECS[name].names]
     return df.drop(*drop) if drop else df
 
