@@ -56,3 +56,11 @@ def test_rfm_scores_are_tiles(t):
     rfm = customers.customer_rfm(t, AS_OF)
     counts = [r["n"] for r in rfm.groupBy("r_score").agg(F.count("*").alias("n")).orderBy("r_score").collect()]
     assert len(counts) == 5 and max(counts) - min(counts) <= 1 and counts == sorted(counts, reverse=True)
+
+
+def test_full_rfm_rank_matches_top_k(t):
+    full = customers.rfm_rank(t, AS_OF, k=None)
+    top = {r["customer_id"]: r["rfm_rank"] for r in customers.rfm_rank(t, AS_OF, k=20).collect()}
+    got = {r["customer_id"]: r["rfm_rank"] for r in full.collect()}
+    assert all(got[c] == rk for c, rk in top.items())
+    assert full.count() == customers.customer_rfm(t, AS_OF).count()

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillpoint.functions.measures import as_double, dated, month_start, net_sales, profit, revenue
-from tillpoint.operators.ranking import with_ntile
+from tillpoint.operators.ranking import with_ntile, with_rank
 from tillpoint.tables import Tables
 
 DateLike = str | dt.date
@@ -52,14 +52,17 @@ def customer_rfm(t: Tables, as_of: DateLike | None = None, n: int = 5) -> DataFr
     )
 
 
-def rfm_rank(t: Tables, as_of: DateLike | None = None, k: int = 20, n: int = 5) -> DataFrame:
+def rfm_rank(t: Tables, as_of: DateLike | None = None, k: int | None = 20, n: int = 5) -> DataFrame:
     """q06: the ``k`` best RFM scores with ``RANK() OVER (ORDER BY rfm_score)``.
 
     The first k rows in (rfm_score, customer_id) order contain every row ranked
     before them, so the rank computed inside that top-k equals the global rank;
-    the top-k itself is a distributed TakeOrderedAndProject.
+    the top-k itself is a distributed TakeOrderedAndProject. ``k=None`` ranks every
+    customer with the range-partitioned RANK of operators.ranking.
     """
     rfm = customer_rfm(t, as_of, n).select("customer_id", "rfm_score")
+    if k is None:
+        return with_rank(rfm, "rfm_score", [F.col("customer_id").asc_nulls_last()], "rfm_rank")
     top = rfm.orderBy(F.col("rfm_score").asc_nulls_last(), F.col("customer_id").asc_nulls_last()).limit(k)
     return top.withColumn("rfm_rank", F.rank().over(Window.orderBy(F.col("rfm_score").asc_nulls_last())))
 
