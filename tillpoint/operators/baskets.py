@@ -48,9 +48,15 @@ def pair_counts(
         frequent = bi.groupBy(item).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_freq).select(item)
         bi = bi.join(frequent, item, "left_semi")
 
-    sizes = bi.groupBy(basket).agg(F.count(F.lit(1)).alias("_size"))
-    hot_ids = sizes.where(F.col("_size") > hot_size).select(basket)
-    n_hot = hot_ids.count()  # one number to the driver
+    # A basket's distinct items never exceed its rows: a per-basket row count (partially
+    # aggregated) settles the usual case without computing distinct sizes twice.
+    row_counts = lines.where(F.col(basket).isNotNull()).groupBy(basket).agg(F.count(F.lit(1)).alias("_rows"))
+    may_be_hot = row_counts.where(F.col("_rows") > hot_size).limit(1).count() > 0
+    n_hot = 0
+    if may_be_hot:
+        sizes = bi.groupBy(basket).agg(F.count(F.lit(1)).alias("_size"))
+        hot_ids = sizes.where(F.col("_size") > hot_size).select(basket)
+        n_hot = hot_ids.count()  # one number to the driver
     if n_hot == 0:
         pairs = _self_pairs(bi, basket, item)
         return pairs.groupBy("item1", "item2").agg(F.count(F.lit(1)).alias("freq")).where(F.col("freq") >= min_freq)
