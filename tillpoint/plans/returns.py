@@ -30,8 +30,12 @@ def monthly_return_rate(t: Tables, fixed: bool = False) -> DataFrame:
     multiplied as the join multiplies them). Fixed: all orders, each return counted once.
     """
     fo = t["fact_orders"]
-    per_order = fo.groupBy("order_id", "order_date").agg(
-        F.sum("order_quantity").cast("long").alias("_o"), F.count(F.lit(1)).alias("_no")
+    # Grouped by order_id alone (the date is one per order), so the result is already
+    # partitioned for the join with the per-order returns.
+    per_order = fo.groupBy("order_id").agg(
+        F.max("order_date").alias("order_date"),
+        F.sum("order_quantity").cast("long").alias("_o"),
+        F.count(F.lit(1)).alias("_no"),
     )
     r = _returns_per_order(t)
     if fixed:
@@ -80,8 +84,12 @@ def customer_return_rate(t: Tables) -> DataFrame:
     Returns are pre-aggregated per order as in the source; each order row then
     carries its order's returned total, as the source's join does."""
     fo = t["fact_orders"]
-    per_order = fo.groupBy("order_id", "customer_id").agg(
-        F.sum("order_quantity").cast("long").alias("_o"), F.count(F.lit(1)).alias("_no")
+    # One customer per order: grouping by order_id alone keeps the result partitioned
+    # for the join with the per-order returns.
+    per_order = fo.groupBy("order_id").agg(
+        F.max("customer_id").alias("customer_id"),
+        F.sum("order_quantity").cast("long").alias("_o"),
+        F.count(F.lit(1)).alias("_no"),
     )
     j = per_order.join(_returns_per_order(t), "order_id", "left")
     out = j.groupBy("customer_id").agg(
