@@ -55,20 +55,22 @@ def orders_vs_returns(t: Tables, fixed: bool = False) -> DataFrame:
 
     Literal: order rows left-joined to returns on order_id (a row's quantity
     repeats once per return of its order; every return of the order is added to
-    each row). Fixed: returns matched on (order_id, SKU), each counted once.
+    each row), computed from per-order return totals. Fixed: returns matched on
+    (order_id, SKU), each counted once.
     """
     fo = t["fact_orders"]
-    per = fo.groupBy("order_id", "product_sku").agg(
-        F.sum("order_quantity").cast("long").alias("_o"), F.count(F.lit(1)).alias("_no")
-    )
     if fixed:
+        per = fo.groupBy("order_id", "product_sku").agg(F.sum("order_quantity").cast("long").alias("_o"))
         r = t["fact_returns"].groupBy("order_id", "product_sku").agg(F.sum("return_quantity").cast("long").alias("_r"))
         j = per.join(r, ["order_id", "product_sku"], "left")
         ordered, returned = F.sum("_o"), F.sum(F.coalesce(F.col("_r"), F.lit(0)))
     else:
-        j = per.join(_returns_per_order(t), "order_id", "left")
-        ordered = F.sum(F.col("_o") * F.greatest(F.coalesce(F.col("_nr"), F.lit(0)), F.lit(1)))
-        returned = F.sum(F.col("_no") * F.coalesce(F.col("_r"), F.lit(0)))
+        # Each order row meets its order's per-order return totals once (one row per
+        # order on that side), then rows are summed per SKU with partial aggregation.
+        rows = fo.select("order_id", "product_sku", "order_quantity")
+        j = rows.join(_returns_per_order(t), "order_id", "left")
+        ordered = F.sum(F.col("order_quantity") * F.greatest(F.coalesce(F.col("_nr"), F.lit(0)), F.lit(1)))
+        returned = F.sum(F.coalesce(F.col("_r"), F.lit(0)))
     return j.groupBy("product_sku").agg(ordered.cast("long").alias("ordered"), returned.cast("long").alias("returned"))
 
 
