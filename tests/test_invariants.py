@@ -64,3 +64,23 @@ def test_full_rfm_rank_matches_top_k(t):
     got = {r["customer_id"]: r["rfm_rank"] for r in full.collect()}
     assert all(got[c] == rk for c, rk in top.items())
     assert full.count() == customers.customer_rfm(t, AS_OF).count()
+
+
+def test_distributed_rfm_equals_window_form(t):
+    """The range-partitioned NTILEs equal Spark's one-partition window NTILEs."""
+    from pyspark.sql import Window
+
+    from tillpoint.functions.measures import net_sales
+
+    raw = t["fact_orders"].groupBy("customer_id").agg(
+        F.max("order_date").alias("last"), F.count("order_id").alias("frequency"), F.sum(net_sales()).alias("monetary")
+    ).withColumn("recency", F.datediff(F.lit(AS_OF).cast("date"), F.col("last")))
+    cid = F.col("customer_id").asc()
+    plain = raw.select(
+        "customer_id",
+        F.ntile(5).over(Window.orderBy(F.col("recency").asc(), cid)).alias("r"),
+        F.ntile(5).over(Window.orderBy(F.col("frequency").desc(), cid)).alias("f"),
+        F.ntile(5).over(Window.orderBy(F.col("monetary").desc(), cid)).alias("m"),
+    )
+    ours = customers.customer_rfm(t, AS_OF).select("customer_id", "r_score", "f_score", "m_score")
+    assert sorted(map(tuple, ours.collect())) == sorted(map(tuple, plain.collect()))
