@@ -86,14 +86,17 @@ def test_cli_ingest_and_run(spark):
     from tillpoint.__main__ import main
 
     t = make_tables(spark, fact_orders=[order(1, 2, qty=3, day=D(2021, 5, 1)), order(2, 2, qty=1, day=D(2021, 6, 1))],
-                    dim_products=[dict(product_sku=2, product_name="p", product_category="c")])
+                    dim_products=[dict(product_sku=2, product_name="p", product_category="c")],
+                    dim_customers=[dict(customer_id=1), dict(customer_id=2)])
     root = tempfile.mkdtemp(prefix="tp-cli-")
-    prep.export_csv(t, os.path.join(root, "csv"), ["dim_products", "fact_orders"])
+    prep.export_csv(t, os.path.join(root, "csv"), ["dim_products", "dim_customers", "fact_orders"])
     assert main(["ingest", os.path.join(root, "csv"), os.path.join(root, "tables")]) == 0
-    assert main(["run", "q01_top_products", "q16_monthly_profit", "--tables", os.path.join(root, "tables"),
-                 "--out", os.path.join(root, "out")]) == 0
+    assert main(["run", "q01_top_products", "q16_monthly_profit", "q19_churn_risk", "--tables",
+                 os.path.join(root, "tables"), "--out", os.path.join(root, "out"), "--as-of", "2021-08-01"]) == 0
     top = spark.read.parquet(os.path.join(root, "out", "q01_top_products")).collect()
     assert [(r["product_name"], str(r["revenue"])) for r in top] == [("p", "40.00")]
+    churn = spark.read.parquet(os.path.join(root, "out", "q19_churn_risk")).collect()
+    assert sorted(r["customer_id"] for r in churn) == [2]  # customer 1 ordered 2021-06-01, within 90 days
 
 
 def test_ingest_numbers_returns_like_serial(spark):

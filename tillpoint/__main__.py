@@ -3,10 +3,13 @@
     python -m tillpoint ingest CSV_DIR TABLE_DIR
     python -m tillpoint list
     python -m tillpoint run KEY [KEY ...] --tables TABLE_DIR --out OUT_DIR [--format parquet|csv]
-    python -m tillpoint run all --tables TABLE_DIR --out OUT_DIR
+    python -m tillpoint run all --tables TABLE_DIR --out OUT_DIR [--as-of YYYY-MM-DD]
+    python -m tillpoint ingest-stream TABLE LANDING_DIR TABLE_DIR
 
 ``run`` reads the Parquet tables written by ``ingest`` and writes each key's result
-under OUT_DIR/KEY. The session comes from the launcher (spark-submit settings win);
+under OUT_DIR/KEY; ``--as-of`` is the analysis date of the recency and churn keys
+(default: today). ``ingest-stream`` appends the CSV files newly landed in
+LANDING_DIR to one table and stops (Structured Streaming, availableNow). The session comes from the launcher (spark-submit settings win);
 run locally it uses local[*].
 """
 
@@ -41,9 +44,14 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--tables", required=True)
     run.add_argument("--out", required=True)
     run.add_argument("--format", default="parquet", choices=["parquet", "csv"])
+    run.add_argument("--as-of", default=None, help="analysis date for recency/churn keys (default: today)")
+    stream = sub.add_parser("ingest-stream", help="append newly landed CSV files of one table")
+    stream.add_argument("table")
+    stream.add_argument("landing_dir")
+    stream.add_argument("table_dir")
     args = parser.parse_args(argv)
 
-    from tillpoint.plans.registry import REGISTRY
+    from tillpoint.plans.registry import REGISTRY, build_registry
 
     if args.cmd == "list":
         print("\n".join(REGISTRY))
@@ -54,15 +62,21 @@ def main(argv: list[str] | None = None) -> int:
 
         ingest(spark, args.csv_dir, args.table_dir)
         return 0
+    if args.cmd == "ingest-stream":
+        from tillpoint.streaming import ingest_stream
+
+        ingest_stream(spark, args.table, args.landing_dir, args.table_dir).awaitTermination()
+        return 0
+    registry = build_registry(args.as_of)
     from tillpoint.sources.files import read_tables
 
     tables = read_tables(spark, args.tables)
-    keys = list(REGISTRY) if args.keys == ["all"] else args.keys
-    unknown = [k for k in keys if k not in REGISTRY]
+    keys = list(registry) if args.keys == ["all"] else args.keys
+    unknown = [k for k in keys if k not in registry]
     if unknown:
         parser.error(f"unknown keys: {unknown}")
     for key in keys:
-        writer = REGISTRY[key](tables).write.mode("overwrite")
+        writer = registry[key](tables).write.mode("overwrite")
         path = os.path.join(args.out, key)
         writer.option("header", True).csv(path) if args.format == "csv" else writer.parquet(path)
         print(f"{key} -> {path}")

@@ -53,84 +53,89 @@ def _p08(t: Tables) -> DataFrame:
     return stored["fact_orders"].select(*t["fact_orders"].columns)
 
 
-REGISTRY: dict[str, Callable[[Tables], DataFrame]] = {
-    # stored views
-    "v01_orders_with_promo": promotions.orders_with_promo,
-    "v02_customer_rfm": lambda t: customers.customer_rfm(t, AS_OF),
-    "v03_product_monthly_quantity": products.product_monthly_quantity,
-    # analyses
-    "q01_top_products": sales.top_products,
-    "q02_customer_revenue": customers.customer_ltv,
-    "q03_monthly_return_rate": returns.monthly_return_rate,
-    "q03_monthly_return_rate_fixed": lambda t: returns.monthly_return_rate(t, fixed=True),
-    "q04_promo_ratio": promotions.promo_ratio,
-    "q05_avg_delivery_by_carrier": logistics.avg_delivery_by_carrier,
-    "q06_rfm": lambda t: customers.rfm_rank(t, AS_OF),
-    "q07_top_categories_profit": sales.top_categories,
-    "q08_products_without_sales": products.products_without_sales,
-    "q08_products_without_sales_2000q1": lambda t: products.products_without_sales(t, "2000-01-01", "2000-03-31"),
-    "q09_orders_per_warehouse": logistics.orders_per_warehouse,
-    "q10_repeat_rate": customers.repeat_purchase_rate,
-    "q11_revenue_by_promo": promotions.revenue_by_promo,
-    "q12_seasonal_product": products.most_seasonal_product,
-    "q13_avg_discount_by_category": promotions.avg_discount_by_category,
-    "q14_orders_vs_returns": returns.orders_vs_returns,
-    "q14_orders_vs_returns_fixed": lambda t: returns.orders_vs_returns(t, fixed=True),
-    "q15_on_time_rate": logistics.on_time_rate,
-    "q16_monthly_profit": sales.monthly_profit,
-    "q17_top_retailers": sales.top_retailers,
-    "q18_top_returned": returns.top_returned_products,
-    "q19_churn_risk": lambda t: customers.churn_risk(t, AS_OF),
-    "q20_retailer_region_qty": sales.quantity_by_region,
-    "q21_pct_orders_by_channel": sales.pct_orders_by_channel,
-    "q22_top_customers_profit": customers.top_customers_by_profit,
-    "q23_avg_delivery_by_region": logistics.avg_delivery_by_region,
-    "q24_promo_no_uplift": promotions.promotions_without_uplift,
-    "q24_promo_no_uplift_exact": lambda t: promotions.promotions_without_uplift(t, integer_division=False),
-    "q25_best_product_per_category": sales.best_product_per_category,
-    "q26_customers_by_age": customers.customers_by_age_group,
-    "q27_promos_per_campaign": promotions.promotions_per_campaign,
-    "q28_avg_profit_per_order": sales.avg_profit_per_order,
-    "q29_shipments_by_method_month": logistics.shipments_by_method_month,
-    "q30_worst_product_per_month": sales.worst_product_per_month,
-    "q31_delivery_deviation": logistics.delivery_deviation,
-    "q32_revenue_share_by_region": sales.revenue_share_by_region,
-    "q33_customer_return_rate": returns.customer_return_rate,
-    "q34_promos_per_month": promotions.promotions_per_month,
-    "q34_promos_per_month_active": lambda t: promotions.promotions_per_month(t, mode="active"),
-    "q35_warehouse_most_orders": logistics.orders_by_location,
-    "q36_more_returns_than_sales": returns.skus_more_returned_than_sold,
-    "q36_more_returns_than_sales_half": lambda t: returns.skus_more_returned_than_sold(t, min_ratio=0.5),
-    "q36_more_returns_than_sales_literal": lambda t: returns.skus_more_returned_than_sold(t, fixed=False),
-    "q37_mom_growth": sales.month_over_month_growth,
-    "q38_order_frequency": customers.order_frequency,
-    "q39_discount_buckets": promotions.avg_discount_by_bucket,
-    "q40_single_order_customers": customers.single_order_customers,
-    "q40_single_order_customers_2001": lambda t: customers.single_order_customers(t, "2001-01-01"),
-    "q41a_rolling_365d": sales.rolling_revenue_daily,
-    "q41b_rolling_12m": sales.rolling_revenue_monthly,
-    "q42_customer_cohort": customers.customer_cohort,
-    "q43_cohort_retention": customers.cohort_retention,
-    "q44_best_campaign": promotions.top_campaigns_by_profit,
-    "q45_outlier_quantity": products.quantity_outliers,
-    "q45_outlier_quantity_k15": lambda t: products.quantity_outliers(t, k=1.5),
-    "q46_weighted_shipping_cost": logistics.weighted_shipping_cost,
-    "q47_bought_together": products.bought_together,
-    "q47_bought_together_min3": lambda t: products.bought_together(t, min_freq=3),
-    "q48_sma_demand": sales.demand_sma,
-    "q49_sla_violation": logistics.sla_violation_rate,
-    "q50_product_lifecycle": products.product_lifecycle,
-    # preparation jobs
-    "p01_calendar": prep.order_calendar,
-    "p02_order_discount": _p02,
-    "p03_promo_date_repair": lambda t: prep.repair_promo_dates(t["dim_promotions"], 30),
-    "p04_derive_shippings": _p04,
-    "p05_return_timestamp": _p05,
-    "p06_return_id": lambda t: prep.with_return_id(t["fact_returns"]),
-    "p07_enrich_returns": lambda t: prep.enrich_returns(t["fact_returns"], t["fact_orders"]),
-    "p08_ingest": _p08,
-    # data-quality jobs
-    "dq1_primary_key": quality.pk_report,
-    "dq2_foreign_key": quality.fk_report,
-    "dq3_domain": quality.domain_report,
-}
+def build_registry(as_of=AS_OF) -> dict[str, Callable[[Tables], DataFrame]]:
+    """All keys with their parameters bound; ``as_of`` is the analysis date (None = today)."""
+    return {
+        # stored views
+        "v01_orders_with_promo": promotions.orders_with_promo,
+        "v02_customer_rfm": lambda t: customers.customer_rfm(t, as_of),
+        "v03_product_monthly_quantity": products.product_monthly_quantity,
+        # analyses
+        "q01_top_products": sales.top_products,
+        "q02_customer_revenue": customers.customer_ltv,
+        "q03_monthly_return_rate": returns.monthly_return_rate,
+        "q03_monthly_return_rate_fixed": lambda t: returns.monthly_return_rate(t, fixed=True),
+        "q04_promo_ratio": promotions.promo_ratio,
+        "q05_avg_delivery_by_carrier": logistics.avg_delivery_by_carrier,
+        "q06_rfm": lambda t: customers.rfm_rank(t, as_of),
+        "q07_top_categories_profit": sales.top_categories,
+        "q08_products_without_sales": products.products_without_sales,
+        "q08_products_without_sales_2000q1": lambda t: products.products_without_sales(t, "2000-01-01", "2000-03-31"),
+        "q09_orders_per_warehouse": logistics.orders_per_warehouse,
+        "q10_repeat_rate": customers.repeat_purchase_rate,
+        "q11_revenue_by_promo": promotions.revenue_by_promo,
+        "q12_seasonal_product": products.most_seasonal_product,
+        "q13_avg_discount_by_category": promotions.avg_discount_by_category,
+        "q14_orders_vs_returns": returns.orders_vs_returns,
+        "q14_orders_vs_returns_fixed": lambda t: returns.orders_vs_returns(t, fixed=True),
+        "q15_on_time_rate": logistics.on_time_rate,
+        "q16_monthly_profit": sales.monthly_profit,
+        "q17_top_retailers": sales.top_retailers,
+        "q18_top_returned": returns.top_returned_products,
+        "q19_churn_risk": lambda t: customers.churn_risk(t, as_of),
+        "q20_retailer_region_qty": sales.quantity_by_region,
+        "q21_pct_orders_by_channel": sales.pct_orders_by_channel,
+        "q22_top_customers_profit": customers.top_customers_by_profit,
+        "q23_avg_delivery_by_region": logistics.avg_delivery_by_region,
+        "q24_promo_no_uplift": promotions.promotions_without_uplift,
+        "q24_promo_no_uplift_exact": lambda t: promotions.promotions_without_uplift(t, integer_division=False),
+        "q25_best_product_per_category": sales.best_product_per_category,
+        "q26_customers_by_age": customers.customers_by_age_group,
+        "q27_promos_per_campaign": promotions.promotions_per_campaign,
+        "q28_avg_profit_per_order": sales.avg_profit_per_order,
+        "q29_shipments_by_method_month": logistics.shipments_by_method_month,
+        "q30_worst_product_per_month": sales.worst_product_per_month,
+        "q31_delivery_deviation": logistics.delivery_deviation,
+        "q32_revenue_share_by_region": sales.revenue_share_by_region,
+        "q33_customer_return_rate": returns.customer_return_rate,
+        "q34_promos_per_month": promotions.promotions_per_month,
+        "q34_promos_per_month_active": lambda t: promotions.promotions_per_month(t, mode="active"),
+        "q35_warehouse_most_orders": logistics.orders_by_location,
+        "q36_more_returns_than_sales": returns.skus_more_returned_than_sold,
+        "q36_more_returns_than_sales_half": lambda t: returns.skus_more_returned_than_sold(t, min_ratio=0.5),
+        "q36_more_returns_than_sales_literal": lambda t: returns.skus_more_returned_than_sold(t, fixed=False),
+        "q37_mom_growth": sales.month_over_month_growth,
+        "q38_order_frequency": customers.order_frequency,
+        "q39_discount_buckets": promotions.avg_discount_by_bucket,
+        "q40_single_order_customers": customers.single_order_customers,
+        "q40_single_order_customers_2001": lambda t: customers.single_order_customers(t, "2001-01-01"),
+        "q41a_rolling_365d": sales.rolling_revenue_daily,
+        "q41b_rolling_12m": sales.rolling_revenue_monthly,
+        "q42_customer_cohort": customers.customer_cohort,
+        "q43_cohort_retention": customers.cohort_retention,
+        "q44_best_campaign": promotions.top_campaigns_by_profit,
+        "q45_outlier_quantity": products.quantity_outliers,
+        "q45_outlier_quantity_k15": lambda t: products.quantity_outliers(t, k=1.5),
+        "q46_weighted_shipping_cost": logistics.weighted_shipping_cost,
+        "q47_bought_together": products.bought_together,
+        "q47_bought_together_min3": lambda t: products.bought_together(t, min_freq=3),
+        "q48_sma_demand": sales.demand_sma,
+        "q49_sla_violation": logistics.sla_violation_rate,
+        "q50_product_lifecycle": products.product_lifecycle,
+        # preparation jobs
+        "p01_calendar": prep.order_calendar,
+        "p02_order_discount": _p02,
+        "p03_promo_date_repair": lambda t: prep.repair_promo_dates(t["dim_promotions"], 30),
+        "p04_derive_shippings": _p04,
+        "p05_return_timestamp": _p05,
+        "p06_return_id": lambda t: prep.with_return_id(t["fact_returns"]),
+        "p07_enrich_returns": lambda t: prep.enrich_returns(t["fact_returns"], t["fact_orders"]),
+        "p08_ingest": _p08,
+        # data-quality jobs
+        "dq1_primary_key": quality.pk_report,
+        "dq2_foreign_key": quality.fk_report,
+        "dq3_domain": quality.domain_report,
+    }
+
+
+REGISTRY = build_registry(AS_OF)
