@@ -60,3 +60,27 @@ def test_pair_counts_match_brute_force(spark, min_freq, hot_size):
     df = spark.createDataFrame(lines, "order_id long, product_sku long")
     got = sorted(tuple(r) for r in pair_counts(df, min_freq=min_freq, hot_size=hot_size).collect())
     assert got == _brute_pairs(lines, min_freq)
+
+
+def test_covered_intervals_flag_equals_exists(spark):
+    import datetime as dt
+
+    from tillpoint.operators.promotions import flag_rows
+
+    rnd = random.Random(5)
+    base = dt.date(2021, 1, 1)
+    promos = []
+    for pid in range(60):
+        s = base + dt.timedelta(days=rnd.randint(0, 60))
+        e = s + dt.timedelta(days=rnd.randint(-3, 12))  # some end before they start
+        promos.append((pid, rnd.randint(1, 4), s, e))
+    promos += [(100, 1, None, base), (101, 2, base, None)]
+    days = [(i, rnd.randint(1, 5), base + dt.timedelta(days=rnd.randint(0, 80))) for i in range(300)]
+    p = spark.createDataFrame(promos, "promotion_id int, product_sku int, start_date date, end_date date")
+    rows = spark.createDataFrame(days, "row_id int, product_sku int, order_date date")
+    got = sorted((r["row_id"], r["is_promotion_active"]) for r in flag_rows(rows, p).collect())
+    want = sorted(
+        (i, any(ps == sku and s is not None and e is not None and s <= d <= e for _, ps, s, e in promos))
+        for i, sku, d in days
+    )
+    assert got == want

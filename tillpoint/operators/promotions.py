@@ -13,7 +13,7 @@ an unbounded number of rows for one SKU.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -24,6 +24,46 @@ def coverage(promotions: DataFrame) -> DataFrame:
     return promotions.groupBy("product_sku", "start_date").agg(F.max("end_date").alias("end_date"))
 
 
+def covered_intervals(promotions: DataFrame) -> DataFrame:
+    """The days covered by each SKU's promotions as disjoint [start_date, end_date]
+    intervals (overlapping promotions merged; adjacent ones may stay apart).
+
+    Gaps and islands over ``coverage``: a window per SKU, ordered by start, marks a
+    new island where a start lies after every earlier end. A SKU has at most one row
+    per calendar day here, so each window partition is bounded by the calendar.
+    Promotions with a missing bound or ending before they start cover no day (as
+    BETWEEN gives) and are left out."""
+    c = coverage(promotions).where(
+        F.col("start_date").isNotNull() & F.col("end_date").isNotNull() & (F.col("end_date") >= F.col("start_date"))
+    )
+    by_sku = Window.partitionBy("product_sku").orderBy("start_date")
+    earlier_end = F.max("end_date").over(by_sku.rowsBetween(Window.unboundedPreceding, -1))
+    starts = c.withColumn("_new", F.when(earlier_end.isNull() | (F.col("start_date") > earlier_end), 1).otherwise(0))
+    islands = starts.withColumn("_island", F.sum("_new").over(by_sku.rowsBetween(Window.unboundedPreceding, 0)))
+    return islands.groupBy("product_sku", "_island").agg(
+        F.min("start_date").alias("start_date"), F.max("end_date").alias("end_date")
+    ).drop("_island")
+
+
+def flag_rows(
+    rows: DataFrame,
+    promotions: DataFrame,
+    *,
+    sku: str = "product_sku",
+    day: str = "order_date",
+    flag: str = "is_promotion_active",
+) -> DataFrame:
+    """Add ``flag`` to every row in one pass: a left range join against the disjoint
+    covered intervals matches each row at most once, so rows are never repeated.
+    Keyed on SKU with a date residual; a hot SKU on the row side is split by AQE's
+    skew handling while its (calendar-bounded) intervals are replicated."""
+    iv = covered_intervals(promotions).select(
+        F.col("product_sku").alias("_iv_sku"), F.col("start_date").alias("_iv_start"), F.col("end_date").alias("_iv_end")
+    )
+    cond = (rows[sku] == iv["_iv_sku"]) & rows[day].between(iv["_iv_start"], iv["_iv_end"])
+    return rows.join(iv, cond, "left").select(*rows.columns, F.col("_iv_start").isNotNull().alias(flag))
+
+
 def promotion_active(promotions: DataFrame, keys_alias: str, sku: str = "product_sku", day: str = "order_date"):
     """Correlated EXISTS column for rows of a frame aliased ``keys_alias``."""
     p = coverage(promotions).alias("_promo")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillpoint.functions.measures import as_double, month_start, profit, revenue
-from tillpoint.operators.promotions import flag_days, matching_promotions
+from tillpoint.operators.promotions import flag_days, flag_rows, matching_promotions
 from tillpoint.tables import Tables
 
 FLAG = "is_promotion_active"
@@ -26,15 +26,9 @@ def _flagged_sku_days(t: Tables, **measures) -> DataFrame:
 
 
 def orders_with_promo(t: Tables) -> DataFrame:
-    """v01: every order row plus ``is_promotion_active``.
-
-    The flag is computed once per (SKU, day) and joined back on that pair; a hot
-    (SKU, day) on the fact side is split by AQE's skew-join handling.
-    """
-    fo = t["fact_orders"]
-    keys = fo.select("product_sku", "order_date").distinct()
-    flags = flag_days(keys, t["dim_promotions"])
-    return fo.join(flags, ["product_sku", "order_date"], "left").select(*fo.columns, FLAG)
+    """v01: every order row plus ``is_promotion_active``, in one pass over the facts
+    (a left range join against each SKU's disjoint covered intervals)."""
+    return flag_rows(t["fact_orders"], t["dim_promotions"])
 
 
 def promo_ratio(t: Tables) -> DataFrame:
