@@ -2,9 +2,12 @@
 
 from tillpoint.functions.measures import (
     as_double,
+    dated,
     div_or_null,
+    exact_stddev_samp,
     exact_var_samp,
     month_start,
+    net_sales,
     profit,
     ratio,
     revenue,
@@ -13,9 +16,12 @@ from tillpoint.functions.measures import (
 
 __all__ = [
     "as_double",
+    "dated",
     "div_or_null",
+    "exact_stddev_samp",
     "exact_var_samp",
     "month_start",
+    "net_sales",
     "profit",
     "ratio",
     "revenue",

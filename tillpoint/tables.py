@@ -32,7 +32,3 @@ class Tables(Mapping):
         out = Tables(self._factories, **self._built)
         out._built[name] = df
         return out
-
-    @property
-    def spark(self):
-        return self[next(iter(self))].sparkSession
