@@ -236,3 +236,10 @@ def test_identical_promotions_collapse_but_count(spark):
     # three identical promotions of campaign a each count the order; campaign b's end before the order
     assert rows(promotions.top_campaigns_by_profit(t, k=5), "campaign_name", "profit") == [("a", Decimal("18.00"))]
     assert rows(promotions.orders_with_promo(t), "order_id", "is_promotion_active") == [(1, True)]
+
+
+def test_discount_buckets_with_amount_edges(spark):
+    vals = [0, 999.99, 1000, 1000.01, 3000, 3000.01]
+    t = make_tables(spark, fact_orders=[dict(order(i, 1), product_discount=money(v)) for i, v in enumerate(vals)])
+    got = dict(rows(promotions.avg_discount_by_bucket(t, (0, 1000, 3000), suffix=""), "discount_bucket", "avg_discount"))
+    assert got == {"0": 0.0, "1-1000": 1000.0, "1001-3000": 2000.01, "3000+": 3000.01}  # 2000.005 rounds up

@@ -104,18 +104,20 @@ def promotions_per_month(t: Tables, mode: str = "started") -> DataFrame:
 DISCOUNT_EDGES = (0, 10, 20, 30, 50)
 
 
-def discount_bucket(col: F.Column, edges=DISCOUNT_EDGES) -> F.Column:
-    """'0%' at the first edge, '<lo+1>-<hi>%' for (lo, hi], '<last>%+' otherwise (NULL included)."""
+def discount_bucket(col: F.Column, edges=DISCOUNT_EDGES, suffix: str = "%") -> F.Column:
+    """'0%' at the first edge, '<lo+1>-<hi>%' for (lo, hi], '<last>%+' otherwise (NULL included);
+    ``suffix`` replaces '%' when the edges are amounts rather than percentages."""
     e = list(edges)
-    expr = F.when(col == e[0], F.lit(f"{e[0]}%"))
+    expr = F.when(col == e[0], F.lit(f"{e[0]}{suffix}"))
     for lo, hi in zip(e, e[1:]):
-        expr = expr.when((col > lo) & (col <= hi), F.lit(f"{lo + 1}-{hi}%"))
-    return expr.otherwise(F.lit(f"{e[-1]}%+"))
+        expr = expr.when((col > lo) & (col <= hi), F.lit(f"{lo + 1}-{hi}{suffix}"))
+    return expr.otherwise(F.lit(f"{e[-1]}{suffix}+"))
 
 
-def avg_discount_by_bucket(t: Tables, edges=DISCOUNT_EDGES) -> DataFrame:
+def avg_discount_by_bucket(t: Tables, edges=DISCOUNT_EDGES, suffix: str = "%") -> DataFrame:
     """q39: mean discount per discount bucket, 2 decimals."""
-    fo = t["fact_orders"].select("product_discount", discount_bucket(F.col("product_discount"), edges).alias("b"))
+    b = discount_bucket(F.col("product_discount"), edges, suffix)
+    fo = t["fact_orders"].select("product_discount", b.alias("b"))
     out = fo.groupBy(F.col("b").alias("discount_bucket")).agg(
         F.round(as_double(F.sum("product_discount")) / F.count("product_discount"), 2).alias("avg_discount")
     )

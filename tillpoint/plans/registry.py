@@ -107,6 +107,7 @@ def build_registry(as_of=AS_OF) -> dict[str, Callable[[Tables], DataFrame]]:
         "q37_mom_growth": sales.month_over_month_growth,
         "q38_order_frequency": customers.order_frequency,
         "q39_discount_buckets": promotions.avg_discount_by_bucket,
+        "q39_discount_buckets_money": lambda t: promotions.avg_discount_by_bucket(t, (0, 1000, 3000), suffix=""),
         "q40_single_order_customers": customers.single_order_customers,
         "q40_single_order_customers_2001": lambda t: customers.single_order_customers(t, "2001-01-01"),
         "q41a_rolling_365d": sales.rolling_revenue_daily,
