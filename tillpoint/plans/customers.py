@@ -67,9 +67,10 @@ def rfm_rank(t: Tables, as_of: DateLike | None = None, k: int | None = 20, n: in
     return top.withColumn("rfm_rank", F.rank().over(Window.orderBy(F.col("rfm_score").asc_nulls_last())))
 
 
-def repeat_purchase_rate(t: Tables) -> DataFrame:
-    """q10: customers with more than one order row / customers with orders."""
-    per = t["fact_orders"].groupBy("customer_id").agg(F.count(F.lit(1)).alias("order_count"))
+def repeat_purchase_rate(t: Tables, start: DateLike | None = None, end: DateLike | None = None) -> DataFrame:
+    """q10: customers with more than one order row / customers with orders
+    (within ``[start, end]`` when given)."""
+    per = dated(t["fact_orders"], start, end).groupBy("customer_id").agg(F.count(F.lit(1)).alias("order_count"))
     return per.agg(
         (
             as_double(F.count_distinct(F.when(F.col("order_count") > 1, F.col("customer_id"))))

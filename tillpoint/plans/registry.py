@@ -73,6 +73,7 @@ def build_registry(as_of=AS_OF) -> dict[str, Callable[[Tables], DataFrame]]:
         "q08_products_without_sales_2000q1": lambda t: products.products_without_sales(t, "2000-01-01", "2000-03-31"),
         "q09_orders_per_warehouse": logistics.orders_per_warehouse,
         "q10_repeat_rate": customers.repeat_purchase_rate,
+        "q10_repeat_rate_2001q1": lambda t: customers.repeat_purchase_rate(t, "2001-01-01", "2001-03-31"),
         "q11_revenue_by_promo": promotions.revenue_by_promo,
         "q12_seasonal_product": products.most_seasonal_product,
         "q13_avg_discount_by_category": promotions.avg_discount_by_category,
