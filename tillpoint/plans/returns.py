@@ -4,7 +4,7 @@ Several source queries join returns to order rows on ``order_id`` alone. With
 many rows per order id that join pairs every return of an order with every row
 of the order. The literal forms below reproduce those sums exactly from per-order
 aggregates (sum and count of each side), so no row pairs are ever formed:
-joining a order's r returns (sum R) with its o rows (sum O) yields sums R*o and O*r.
+joining an order's r returns (sum R) with its o rows (sum O) yields sums R*o and O*r.
 The ``fixed`` forms compute what the analysis means instead.
 """
 
