@@ -84,3 +84,26 @@ def test_covered_intervals_flag_equals_exists(spark):
         for i, sku, d in days
     )
     assert got == want
+
+
+def test_ntile_arithmetic_exhaustive(spark):
+    """NTILE from (row number, count) for every count 1..60 and tile count 1..12."""
+    from tillpoint.operators.ranking import ntile_from_row_number
+
+    def reference(n, tiles):
+        q, r = divmod(n, tiles)
+        out = []
+        for tile in range(1, tiles + 1):
+            out += [tile] * (q + (1 if tile <= r else 0))
+        return out
+
+    cases = [(n, k, rn) for n in range(1, 61) for k in range(1, 13) for rn in range(1, n + 1)]
+    df = spark.createDataFrame(cases, "n long, k int, rn long")
+    got = {}
+    for k in range(1, 13):
+        part = df.where(F.col("k") == k).select("n", "rn", ntile_from_row_number(F.col("rn"), F.col("n"), k).alias("t"))
+        for r in part.collect():
+            got[(r["n"], k, r["rn"])] = r["t"]
+    for n in range(1, 61):
+        for k in range(1, 13):
+            assert [got[(n, k, rn)] for rn in range(1, n + 1)] == reference(n, k)
