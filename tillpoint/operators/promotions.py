@@ -53,15 +53,30 @@ def flag_rows(
     day: str = "order_date",
     flag: str = "is_promotion_active",
 ) -> DataFrame:
-    """Add ``flag`` to every row in one pass: a left range join against the disjoint
-    covered intervals matches each row at most once, so rows are never repeated.
-    Keyed on SKU with a date residual; a hot SKU on the row side is split by AQE's
-    skew handling while its (calendar-bounded) intervals are replicated."""
-    iv = covered_intervals(promotions).select(
-        F.col("product_sku").alias("_iv_sku"), F.col("start_date").alias("_iv_start"), F.col("end_date").alias("_iv_end")
+    """Add ``flag`` to every row in one pass over ``rows``.
+
+    The disjoint covered intervals are cut into month pieces, and rows join them on
+    (SKU, month of the day) with the date range as residual. A day lies in at most
+    one interval, and an interval has one piece per month, so each row matches at
+    most once and is never repeated. Keying on the month as well spreads a hot SKU's
+    rows over every month it sells in, instead of one task per SKU; both sides reach
+    the join through their own shuffle, so AQE can split what skew remains."""
+    iv = covered_intervals(promotions)
+    pieces = iv.select(
+        F.col("product_sku").alias("_iv_sku"),
+        F.col("start_date").alias("_iv_start"),
+        F.col("end_date").alias("_iv_end"),
+        F.explode(
+            F.sequence(F.trunc("start_date", "MM"), F.trunc("end_date", "MM"), F.expr("interval 1 month"))
+        ).alias("_iv_month"),
     )
-    cond = (rows[sku] == iv["_iv_sku"]) & rows[day].between(iv["_iv_start"], iv["_iv_end"])
-    return rows.join(iv, cond, "left").select(*rows.columns, F.col("_iv_start").isNotNull().alias(flag))
+    keyed = rows.withColumn("_row_month", F.trunc(F.col(day), "MM"))
+    cond = (
+        (keyed[sku] == pieces["_iv_sku"])
+        & (keyed["_row_month"] == pieces["_iv_month"])
+        & keyed[day].between(pieces["_iv_start"], pieces["_iv_end"])
+    )
+    return keyed.join(pieces, cond, "left").select(*rows.columns, F.col("_iv_start").isNotNull().alias(flag))
 
 
 def promotion_active(promotions: DataFrame, keys_alias: str, sku: str = "product_sku", day: str = "order_date"):
