@@ -205,25 +205,32 @@ def listed_pairs(rows: DataFrame, similarity: int) -> DataFrame:
     return rows.repartition("token").sortWithinPartitions("token").mapInPandas(run, schema)
 
 
-def blocks_of(long: DataFrame) -> tuple[DataFrame, DataFrame]:
+def blocks_of(long: DataFrame, share: int = 0) -> tuple[DataFrame, DataFrame]:
     """Members (sig, n, token) of long posting lists in blocks of bounded size, and the pairs of
-    blocks that meet in a list. The home of a set is its least long list, so like sets sit together."""
-    home = long.groupBy("sig", "n").agg(F.min("token").alias("home"))
+    blocks that meet in lists. The home of a set is its least long list, so like sets sit together.
+
+    Sets that link have ``share`` hundredths of their size of long lists in common (one at least);
+    sets in fewer, and blocks that meet in fewer, are left out.
+    """
+    least = F.greatest(F.lit(1), F.ceil(F.col("n") * share / 100))
+    home = long.groupBy("sig", "n").agg(F.min("token").alias("home"), F.count("*").alias("lists")).where(F.col("lists") >= least)
     blocks = home.groupBy("home").agg(
         F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / (8192 * BLOCK))).alias("blocks")
     )
     members = home.join(blocks, "home").select(
-        "sig", F.xxhash64("home", F.pmod(F.xxhash64("sig"), "blocks")).alias("block")
+        "sig", F.xxhash64("home", F.pmod(F.xxhash64("sig"), "blocks")).alias("block"), least.alias("least")
     )
-    by_token = long.join(members, "sig").select("token", "block").distinct()
+    by_token = long.join(members, "sig").groupBy("token", "block").agg(F.min("least").alias("least"))
     pairs = (
-        by_token.select("token", F.col("block").alias("p"))
-        .join(by_token.select("token", F.col("block").alias("q")), "token")
+        by_token.select("token", F.col("block").alias("p"), F.col("least").alias("lp"))
+        .join(by_token.select("token", F.col("block").alias("q"), F.col("least").alias("lq")), "token")
         .where("p <= q")
+        .groupBy("p", "q")
+        .agg(F.count("*").alias("lists"), F.min(F.least("lp", "lq")).alias("least"))
+        .where("lists >= least")
         .select("p", "q")
-        .distinct()
     )
-    return members, pairs
+    return members.drop("least"), pairs
 
 
 def unpack(tokens: bytes) -> np.ndarray:
@@ -342,10 +349,11 @@ def jaccard_components(
     enough = shared.withColumn("own", own).where(F.col("own") >= F.ceil(F.col("n") * EXTRA / 100))
     listed = listed_pairs(enough.select("token", "n", "sig"), similarity).checkpoint()
 
-    least = F.ceil(F.least("na", "nb") * EXTRA / 100)
+    # of their common prefix shingles, linked sets have half in short lists or half in long ones
+    least = F.ceil(F.least("na", "nb") * EXTRA / 200)
     pairs = listed.where("c > 0").groupBy("a", "b", "na", "nb").agg(F.sum("c").alias("c")).where(F.col("c") >= least).select("a", "b")
     long = listed.where("c = 0").select(F.col("a").alias("sig"), F.col("b").alias("token"), F.col("na").alias("n"))
-    members, block_pairs = blocks_of(long)
+    members, block_pairs = blocks_of(long, EXTRA // 2)
     pairs, members = pairs.checkpoint(), members.checkpoint()
     wanted = pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).union(members.select("sig")).distinct()
     wanted = wanted.join(representative, "sig").select("sig", F.col("rep").alias("id")).checkpoint()
