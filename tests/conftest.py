@@ -44,6 +44,12 @@ def make_tables(spark, **rows):
     from tillpoint.tables import Tables
 
     frames = {}
+    if "dim_date" not in rows:  # the days that have orders
+        days = sorted({o["order_date"] for o in rows.get("fact_orders", []) if o.get("order_date")})
+        rows["dim_date"] = [
+            dict(date=d, year=d.year, month=d.month, quarter=(d.month + 2) // 3, weekday=d.strftime("%A"), is_holiday=False)
+            for d in days
+        ]
     for name, spec in SPECS.items():
         data = rows.get(name, [])
         tuples = [tuple(r.get(c, None) for c in spec.names) for r in data]

@@ -216,10 +216,12 @@ def test_return_id_and_timestamp(spark):
     assert prep.return_timestamp(parts).first()["returndate"] == dt.datetime(2021, 5, 6, 7, 8, 9)
 
 
-def test_enrich_returns_caps_at_ordered(spark):
-    t = make_tables(spark, fact_orders=[order(1, 1, qty=2), order(1, 2, qty=5)], fact_returns=[ret(1, 1, 3), ret(1, 2, 1)])
-    got = rows(prep.enrich_returns(t["fact_returns"], t["fact_orders"]), "product_sku", "return_quantity")
-    assert got == [(1, 2), (2, 1)]
+def test_enrich_returns_fetches_the_sku_and_keeps_quantities(spark):
+    t = make_tables(spark, fact_orders=[order(1, 1, qty=2), order(2, 2, qty=5)], fact_returns=[ret(1, 9, 3), ret(2, 9, 1), ret(3, 9, 1)])
+    bare = t["fact_returns"].drop("product_sku")
+    got = [tuple(r) for r in prep.enrich_returns(bare, t["fact_orders"]).select("order_id", "product_sku", "return_quantity").orderBy("order_id").collect()]
+    assert got == [(1, 1, 3), (2, 2, 1), (3, None, 1)]
+    assert {r.product_sku for r in prep.enrich_returns(t["fact_returns"], t["fact_orders"]).collect()} == {9}
 
 
 @pytest.mark.parametrize("mode,expected", [("started", 1), ("active", 3)])

@@ -51,14 +51,14 @@ def _brute_pairs(lines, min_freq):
     return sorted((a, b, n) for (a, b), n in c.items() if n >= min_freq)
 
 
-@pytest.mark.parametrize("min_freq,hot_size", [(1, 1000), (3, 1000), (4, 6), (2, 6), (6, 6)])
-def test_pair_counts_match_brute_force(spark, min_freq, hot_size):
+@pytest.mark.parametrize("min_freq,block", [(1, 1000), (3, 1000), (4, 6), (2, 2), (6, 1)])
+def test_pair_counts_match_brute_force(spark, min_freq, block):
     rnd = random.Random(3)
     lines = [(b, rnd.randint(1, 12)) for b in range(60) for _ in range(rnd.randint(1, 5))]
     # two oversized baskets
     lines += [(1000, i) for i in range(1, 13)] + [(1001, i) for i in range(1, 13, 2)]
     df = spark.createDataFrame(lines, "order_id long, product_sku long")
-    got = sorted(tuple(r) for r in pair_counts(df, min_freq=min_freq, hot_size=hot_size).collect())
+    got = sorted(tuple(r) for r in pair_counts(df, min_freq=min_freq, block=block).collect())
     assert got == _brute_pairs(lines, min_freq)
 
 
@@ -107,3 +107,30 @@ def test_ntile_arithmetic_exhaustive(spark):
     for n in range(1, 61):
         for k in range(1, 13):
             assert [got[(n, k, rn)] for rn in range(1, n + 1)] == reference(n, k)
+
+
+def test_rank_keeps_null_values(spark):
+    from pyspark.sql import functions as F
+
+    from tillpoint.operators.ranking import with_rank
+
+    df = spark.createDataFrame([(1, None), (2, 5), (3, 5), (4, 9)], "id int, v int")
+    got = {r["id"]: r["rank"] for r in with_rank(df, "v", [F.col("id").asc()]).collect()}
+    assert got == {1: 1, 2: 2, 3: 2, 4: 4}
+
+
+def test_pair_counting_starts_no_job_while_planned(spark):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plan-pairs", "planning only")
+    df = spark.createDataFrame([(1, 1), (1, 2)], "order_id int, product_sku int")
+    pair_counts(df, min_freq=1, block=1)
+    assert len(tracker.getJobIdsForGroup("plan-pairs")) == 0
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_large_quantities_do_not_overflow(spark):
+    from tests.conftest import make_tables, order
+    from tillpoint.plans import products
+
+    t = make_tables(spark, fact_orders=[order(i, 1, qty=1) for i in range(1, 30)] + [order(99, 1, qty=2_000_000_000)])
+    assert [r["order_id"] for r in products.quantity_outliers(t).collect()] == [99]

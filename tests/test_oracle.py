@@ -41,7 +41,7 @@ def duck():
 def _keys():
     import __spark_entry__ as E
 
-    return list(E.queries())
+    return list(E.REGISTRY)
 
 
 @pytest.mark.skipif(not os.path.exists(SF), reason="test tables absent")

@@ -57,11 +57,11 @@ def test_stream_ingest_appends_new_files_once(spark):
     _write(os.path.join(landing, "a.csv"), header, [[1, "d", "m", "c", "n1", "s", "red"]])
     q = ingest_stream(spark, "dim_products", landing, out, checkpoint_location=ckpt)
     q.awaitTermination(120)
-    assert spark.read.parquet(os.path.join(out, "dim_products")).count() == 1
+    assert read_tables(spark, out)["dim_products"].count() == 1
     _write(os.path.join(landing, "b.csv"), header, [[2, "d", "f", "c", "n2", "m", "blue"], [3, "d", "f", "c", "n3", "l", "red"]])
     q = ingest_stream(spark, "dim_products", landing, out, checkpoint_location=ckpt)
     q.awaitTermination(120)
-    got = spark.read.parquet(os.path.join(out, "dim_products"))
+    got = read_tables(spark, out)["dim_products"]
     assert sorted(r["product_sku"] for r in got.collect()) == [1, 2, 3]
 
 
@@ -141,3 +141,44 @@ def test_date_range_prunes_year_folders(spark):
     import re
 
     assert any("order_year" in f for f in re.findall(r"PartitionFilters: \[([^\]]*)\]", plan))
+
+
+def test_ingest_by_uri_in_the_writing_of_r(spark):
+    """Doubled quotes, NA, and a path that only Spark understands; ids go on between loads."""
+    d = tempfile.mkdtemp(prefix="tp-uri-")
+    with open(os.path.join(d, "dim_customers.csv"), "w") as fh:
+        fh.write('"customer_id","customer_name","age_group","gender","region","channel","loyalty_score"\n')
+        fh.write('5,"5"" pipe, long","26-35",NA,"asia","online",49\n')
+    header = ["order_id", "product_sku", "return_quantity", "return_year", "return_month", "return_day", "returndate"]
+    _write(os.path.join(d, "fact_returns.csv"), header, [[1, 7, 2, 2022, 3, 4, "2022-03-04 05:06:07"]])
+    for _ in range(2):
+        prep.ingest(spark, f"file://{d}", f"file://{d}/tables")
+    stored = read_tables(spark, f"file://{d}/tables")
+    customer = stored["dim_customers"].first()
+    assert (customer["customer_name"], customer["gender"]) == ('5" pipe, long', None)
+    assert sorted(r["return_id"] for r in stored["fact_returns"].collect()) == [1, 2]
+
+
+def test_ingest_of_an_absent_named_table_fails(spark):
+    d = tempfile.mkdtemp(prefix="tp-absent-")
+    try:
+        prep.ingest(spark, d, os.path.join(d, "tables"), names=["dim_customers"])
+    except Exception as e:  # noqa: BLE001
+        assert "dim_customers" in str(e)
+    else:
+        raise AssertionError("an absent table was skipped")
+
+
+def test_stream_after_batch_keeps_all_rows(spark):
+    root = tempfile.mkdtemp(prefix="tp-both-")
+    t = make_tables(spark, fact_orders=[order(i, 2) for i in range(1, 6)])
+    prep.export_csv(t, os.path.join(root, "csv"), ["fact_orders"])
+    prep.ingest(spark, os.path.join(root, "csv"), os.path.join(root, "tables"), names=["fact_orders"])
+    late = make_tables(spark, fact_orders=[order(9, 2)])
+    prep.export_csv(late, os.path.join(root, "late"), ["fact_orders"])
+    for _ in range(2):  # the second start finds nothing new
+        ingest_stream(
+            spark, "fact_orders", os.path.join(root, "late", "fact_orders.csv"), os.path.join(root, "tables")
+        ).awaitTermination()
+    stored = read_tables(spark, os.path.join(root, "tables"))["fact_orders"]
+    assert sorted(r["order_id"] for r in stored.collect()) == [1, 2, 3, 4, 5, 9]

@@ -29,7 +29,7 @@ def _session():
     if active is not None:
         ensure_checkpoint_dir(active)
         return active
-    return build_session(os.environ.get("TILLPOINT_MASTER", "local[*]"))
+    return build_session(os.environ.get("TILLPOINT_MASTER"))
 
 
 def main(argv: list[str] | None = None) -> int:

@@ -1,24 +1,13 @@
 """Item pairs bought in the same basket, counted per pair.
 
-A self-join on the basket id emits every pair inside a basket, which is
-quadratic in the basket's size. Baskets are therefore split by size:
-
-* ordinary baskets (at most ``hot_size`` distinct items) are self-joined; each
-  emits at most hot_size*(hot_size-1)/2 pairs;
-* oversized ("hot") baskets are never expanded into pairs when that can be
-  avoided: a pair found only in hot baskets occurs in at most H of them (H = the
-  number of hot baskets), so when ``min_freq > H`` every qualifying pair already
-  appears among the ordinary pairs with at least ``min_freq - H`` baskets. For
-  those candidates the hot-basket count is found by membership joins
-  (candidate x hot baskets holding its first item, then a semi-join on the
-  second item), bounded by candidates x H.
-
-Only when ``min_freq <= H`` can a pair seen solely in hot baskets qualify; the
-pairs of the hot baskets are then emitted by the same self-join, and AQE's skew
-handling splits the hot basket ids across tasks. Results are exact in every case.
-
-Before any of this, items held by fewer than ``min_freq`` baskets are dropped
-(exact: a pair is never more frequent than its rarer item).
+A self-join on the basket id puts all pairs of a basket into one task. Each basket's items are
+therefore dealt into blocks of about ``block`` items, and its rows go to every pair of blocks they
+belong to: a cell of at most two blocks. An ordinary basket is one block and is not repeated; an
+oversized one spreads over as many tasks as it has cells. The plan is the same for any data, and no
+job runs while it is built.
+
+Before that, items held by fewer than ``min_freq`` baskets are dropped (exact: a pair is never more
+frequent than its rarer item).
 """
 
 from __future__ import annotations
@@ -27,59 +16,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _self_pairs(bi: DataFrame, basket: str, item: str) -> DataFrame:
-    a = bi.select(F.col(basket).alias("_b"), F.col(item).alias("item1"))
-    b = bi.select(F.col(basket).alias("_b2"), F.col(item).alias("item2"))
-    return a.join(b, (F.col("_b") == F.col("_b2")) & (F.col("item1") < F.col("item2"))).select("_b", "item1", "item2")
-
-
 def pair_counts(
     lines: DataFrame,
     basket: str = "order_id",
     item: str = "product_sku",
     *,
     min_freq: int = 1,
-    hot_size: int = 1000,
+    block: int = 1000,
 ) -> DataFrame:
     """(item1, item2, freq): number of distinct baskets holding both, item1 < item2,
     for pairs with freq >= min_freq."""
-    bi = lines.select(basket, item).where(F.col(basket).isNotNull() & F.col(item).isNotNull()).distinct()
+    bi = lines.select(F.col(basket).alias("_b"), F.col(item).alias("_i")).where("_b is not null and _i is not null")
+    bi = bi.distinct()
     if min_freq > 1:
-        frequent = bi.groupBy(item).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_freq).select(item)
-        bi = bi.join(frequent, item, "left_semi")
-
-    # A basket's distinct items never exceed its rows: a per-basket row count (partially
-    # aggregated) settles the usual case without computing distinct sizes twice.
-    row_counts = lines.where(F.col(basket).isNotNull()).groupBy(basket).agg(F.count(F.lit(1)).alias("_rows"))
-    may_be_hot = row_counts.where(F.col("_rows") > hot_size).limit(1).count() > 0
-    n_hot = 0
-    if may_be_hot:
-        sizes = bi.groupBy(basket).agg(F.count(F.lit(1)).alias("_size"))
-        hot_ids = sizes.where(F.col("_size") > hot_size).select(basket)
-        n_hot = hot_ids.count()  # one number to the driver
-    if n_hot == 0:
-        pairs = _self_pairs(bi, basket, item)
-        return pairs.groupBy("item1", "item2").agg(F.count(F.lit(1)).alias("freq")).where(F.col("freq") >= min_freq)
-
-    small = bi.join(hot_ids, basket, "left_anti")
-    hot = bi.join(hot_ids, basket, "left_semi")
-    if min_freq <= n_hot:
-        pairs = _self_pairs(bi, basket, item)
-        return pairs.groupBy("item1", "item2").agg(F.count(F.lit(1)).alias("freq")).where(F.col("freq") >= min_freq)
-
-    small_freq = _self_pairs(small, basket, item).groupBy("item1", "item2").agg(F.count(F.lit(1)).alias("_small"))
-    cand = small_freq.where(F.col("_small") >= min_freq - n_hot)
-    h1 = hot.select(F.col(basket).alias("_hb"), F.col(item).alias("item1"))
-    h2 = hot.select(F.col(basket).alias("_hb"), F.col(item).alias("item2"))
-    hot_freq = (
-        cand.select("item1", "item2")
-        .join(h1, "item1")
-        .join(h2, ["_hb", "item2"], "left_semi")
-        .groupBy("item1", "item2")
-        .agg(F.count(F.lit(1)).alias("_hot"))
-    )
-    return (
-        cand.join(hot_freq, ["item1", "item2"], "left")
-        .select("item1", "item2", (F.col("_small") + F.coalesce(F.col("_hot"), F.lit(0))).alias("freq"))
-        .where(F.col("freq") >= min_freq)
+        frequent = bi.groupBy("_i").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_freq).select("_i")
+        bi = bi.join(frequent, "_i", "left_semi")
+    sizes = bi.groupBy("_b").agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("_blocks"))
+    dealt = (
+        bi.join(sizes, "_b")
+        .withColumn("_own", F.pmod(F.xxhash64("_i"), F.col("_blocks")).cast("int"))
+        .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+        .select("_b", "_i", "_own", F.least("_own", "_other").alias("_p"), F.greatest("_own", "_other").alias("_q"))
     )
+    left = dealt.select("_b", "_p", "_q", F.col("_i").alias("item1"), F.col("_own").alias("_own1"))
+    right = dealt.select("_b", "_p", "_q", F.col("_i").alias("item2"), F.col("_own").alias("_own2"))
+    once = (F.col("_p") == F.col("_q")) | (F.col("_own1") != F.col("_own2"))
+    pairs = left.join(right, ["_b", "_p", "_q"]).where((F.col("item1") < F.col("item2")) & once)
+    return pairs.groupBy("item1", "item2").agg(F.count(F.lit(1)).alias("freq")).where(F.col("freq") >= min_freq)

@@ -104,5 +104,5 @@ def with_rank(
     """
     key = F.col(value).asc() if ascending else F.col(value).desc()
     numbered = with_row_number(df, [key, *tie_break], "_tp_rn", num_partitions=num_partitions)
-    firsts = numbered.groupBy(value).agg(F.min("_tp_rn").alias(name))
-    return numbered.join(firsts, value).drop("_tp_rn")
+    firsts = numbered.groupBy(F.col(value).alias("_tp_value")).agg(F.min("_tp_rn").alias(name))
+    return numbered.join(firsts, F.col(value).eqNullSafe(F.col("_tp_value"))).drop("_tp_rn", "_tp_value")

@@ -73,8 +73,8 @@ def repeat_purchase_rate(t: Tables, start: DateLike | None = None, end: DateLike
     per = dated(t["fact_orders"], start, end).groupBy("customer_id").agg(F.count(F.lit(1)).alias("order_count"))
     return per.agg(
         (
-            as_double(F.count_distinct(F.when(F.col("order_count") > 1, F.col("customer_id"))))
-            / F.count_distinct("customer_id")
+            as_double(F.sum(F.when(F.col("customer_id").isNotNull() & (F.col("order_count") > 1), 1).otherwise(0)))
+            / F.nullif(F.count("customer_id"), F.lit(0))
         ).alias("repeat_rate")
     )
 
@@ -122,14 +122,12 @@ def customer_cohort(t: Tables) -> DataFrame:
 def cohort_retention(t: Tables) -> DataFrame:
     """q43: distinct customers by first-order month x order month.
 
-    One shuffle on customer_id gathers each customer's set of active months
-    (bounded by the calendar, and built by partial aggregation); the cohort is
-    the set's minimum, and the sets are exploded and counted.
+    Distinct (customer, month) pairs by hash aggregation, and each customer's first
+    month among them; a customer has no more rows than the calendar has months.
     """
     fo = t["fact_orders"].where(F.col("customer_id").isNotNull())
-    months = fo.groupBy("customer_id").agg(F.collect_set(month_start("order_date")).alias("_months"))
-    exploded = months.select(
-        F.array_min("_months").alias("cohort_month"), F.explode("_months").alias("order_month")
-    )
-    out = exploded.groupBy("cohort_month", "order_month").agg(F.count(F.lit(1)).alias("customers"))
+    months = fo.select("customer_id", month_start("order_date").alias("order_month")).distinct()
+    months = months.where(F.col("order_month").isNotNull())
+    cohort = F.min("order_month").over(Window.partitionBy("customer_id")).alias("cohort_month")
+    out = months.select("order_month", cohort).groupBy("cohort_month", "order_month").agg(F.count(F.lit(1)).alias("customers"))
     return out.orderBy("cohort_month", "order_month")

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from tillpoint.operators.ranking import with_row_number
 from tillpoint.schemas import LOAD_ORDER, SPECS
-from tillpoint.sources.files import load_table, read_table, scan_table, write_csv
+from tillpoint.sources.files import load_table, path_exists, read_table, scan_table, write_csv
 from tillpoint.tables import Tables
 
 DateLike = str | dt.date
@@ -92,17 +92,16 @@ def with_return_id(df: DataFrame) -> DataFrame:
 
 
 def enrich_returns(returns: DataFrame, orders: DataFrame) -> DataFrame:
-    """p07: attach the ordered quantity of the returned (order, SKU) and keep the
-    seven stored columns; a return never exceeds what was ordered.
-
-    Orders are first reduced to one row per (order_id, product_sku), so the join
-    is many-to-one and cannot multiply returns."""
-    o = orders.groupBy("order_id", "product_sku").agg(F.sum("order_quantity").alias("_ordered"))
-    j = returns.join(o, ["order_id", "product_sku"], "left")
+    """p07: fetch the SKU of returns that know only their order, and keep the seven stored
+    columns; quantities stay as they are. An order of several rows gives its least SKU, so the
+    join is many-to-one and cannot multiply returns; a SKU that is there already is kept."""
+    o = orders.groupBy("order_id").agg(F.min("product_sku").alias("_sku"))
+    own = F.col("product_sku") if "product_sku" in returns.columns else F.lit(None)
+    j = returns.join(o, "order_id", "left")
     return j.select(
         "order_id",
-        "product_sku",
-        F.least(F.col("return_quantity"), F.col("_ordered")).cast("int").alias("return_quantity"),
+        F.coalesce(own, F.col("_sku")).alias("product_sku"),
+        F.col("return_quantity").cast("int").alias("return_quantity"),
         "return_year",
         "return_month",
         "return_day",
@@ -119,12 +118,13 @@ def ingest(
     schemas: dict[str, T.StructType] | None = None,
 ) -> Tables:
     """p08: read each table's CSV with its schema and append it to a typed Parquet
-    table, parents before children. ``schemas`` overrides the declared types
+    table, parents before children. A table named in ``names`` must be there; without names, the tables
+    whose CSV is there are loaded. ``schemas`` overrides the declared types
     (the test binding uses long ids and wider decimals)."""
     wanted = names or [s.name for s in LOAD_ORDER]
     for spec in LOAD_ORDER:
         path = os.path.join(csv_dir, f"{spec.name}.csv")
-        if spec.name not in wanted or not os.path.exists(path):
+        if spec.name not in wanted or (names is None and not path_exists(spark, path)):
             continue
         df = read_table(spark, spec, csv_dir, schema=(schemas or {}).get(spec.name))
         if spec.name == "fact_returns" and "return_id" not in spark.read.option("header", True).csv(path).columns:
@@ -136,7 +136,7 @@ def ingest(
 def _serial_return_ids(spark: SparkSession, df: DataFrame, existing: str) -> DataFrame:
     """Assign return_id like a SERIAL column: 1, 2, ... after the largest id already stored."""
     start = 0
-    if os.path.exists(existing):
+    if path_exists(spark, existing):
         start = spark.read.parquet(existing).agg(F.max("return_id")).first()[0] or 0
     numbered = with_return_id(df.drop("return_id"))
     return numbered.withColumn("return_id", F.col("return_id") + F.lit(int(start)))

@@ -18,7 +18,8 @@ def products_without_sales(t: Tables, start: DateLike | None = None, end: DateLi
     """q08: products with no order row (in ``[start, end]`` when given)."""
     fo = dated(t["fact_orders"], start, end)
     p = t["dim_products"].select("product_sku", "product_name")
-    return p.join(fo.select("product_sku"), "product_sku", "left_anti")
+    # one row per SKU and task: a left-anti join cannot split a hot SKU of its right side
+    return p.join(fo.select("product_sku").distinct(), "product_sku", "left_anti")
 
 
 def product_monthly_quantity(t: Tables) -> DataFrame:
@@ -32,7 +33,7 @@ def most_seasonal_product(t: Tables, k: int = 1) -> DataFrame:
     """q12: SKU(s) with the largest sample variance of monthly quantity
     (rounded to 6 decimals; a SKU with one month has NULL variance and sorts last)."""
     m = product_monthly_quantity(t)
-    q = F.col("monthly_quantity")
+    q = F.col("monthly_quantity").cast("decimal(19,0)")
     v = m.groupBy("product_sku").agg(
         F.count(q).alias("_n"), F.sum(q).alias("_s1"), F.sum(q * q).alias("_s2")
     ).select("product_sku", F.round(exact_var_samp("_n", "_s1", "_s2"), 6).alias("variance"))
@@ -44,7 +45,7 @@ def quantity_outliers(t: Tables, k: float = 2.0) -> DataFrame:
 
     The threshold is a one-row aggregate used as a scalar subquery."""
     fo = t["fact_orders"]
-    q = F.col("order_quantity")
+    q = F.col("order_quantity").cast("decimal(19,0)")
     stats = fo.agg(F.count(q).alias("_n"), F.sum(q).alias("_s1"), F.sum(q * q).alias("_s2"))
     threshold = stats.select(
         (F.col("_s1").cast("double") / F.col("_n") + F.lit(float(k)) * exact_stddev_samp("_n", "_s1", "_s2")).alias(
@@ -54,10 +55,10 @@ def quantity_outliers(t: Tables, k: float = 2.0) -> DataFrame:
     return fo.where(q > threshold).select("order_id", "order_quantity")
 
 
-def bought_together(t: Tables, min_freq: int = 10, k: int = 20, hot_size: int = 1000) -> DataFrame:
+def bought_together(t: Tables, min_freq: int = 10, k: int = 20, block: int = 1000) -> DataFrame:
     """q47: SKU pairs bought in the same order, counted in distinct orders,
     pairs seen in at least ``min_freq`` orders, top ``k``."""
-    pairs = pair_counts(t["fact_orders"], "order_id", "product_sku", min_freq=min_freq, hot_size=hot_size)
+    pairs = pair_counts(t["fact_orders"], "order_id", "product_sku", min_freq=min_freq, block=block)
     return pairs.orderBy(F.col("freq").desc(), F.col("item1").asc(), F.col("item2").asc()).limit(k)
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,6 +26,14 @@ def pk_violations(df: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def _joined(parts: list) -> Column:
+    """Key columns with bars between; NULL if any of them is."""
+    out = parts[0]
+    for p in parts[1:]:
+        out = F.concat(out, F.lit("|"), p)
+    return out
+
+
 def pk_report(t: Tables, names: list[str] | None = None) -> DataFrame:
     """dq1 over every table whose key columns are present: (table_name, key_value, rows, reason)."""
     parts = []
@@ -39,7 +47,7 @@ def pk_report(t: Tables, names: list[str] | None = None) -> DataFrame:
         parts.append(
             v.select(
                 F.lit(name).alias("table_name"),
-                F.concat_ws("|", *[F.col(k).cast("string") for k in spec.primary_key]).alias("key_value"),
+                _joined([F.col(k).cast("string") for k in spec.primary_key]).alias("key_value"),
                 "rows",
                 "reason",
             )

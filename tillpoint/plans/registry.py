@@ -131,7 +131,7 @@ def build_registry(as_of=AS_OF) -> dict[str, Callable[[Tables], DataFrame]]:
         "p04_derive_shippings": _p04,
         "p05_return_timestamp": _p05,
         "p06_return_id": lambda t: prep.with_return_id(t["fact_returns"]),
-        "p07_enrich_returns": lambda t: prep.enrich_returns(t["fact_returns"], t["fact_orders"]),
+        "p07_enrich_returns": lambda t: prep.enrich_returns(t["fact_returns"].drop("product_sku"), t["fact_orders"]),
         "p08_ingest": _p08,
         # data-quality jobs
         "dq1_primary_key": quality.pk_report,

@@ -29,22 +29,20 @@ def monthly_return_rate(t: Tables, fixed: bool = False) -> DataFrame:
     Literal: over returns joined to order rows (only orders with returns; sums
     multiplied as the join multiplies them). Fixed: all orders, each return counted once.
     """
-    fo = t["fact_orders"]
-    # Grouped by order_id alone (the date is one per order), so the result is already
-    # partitioned for the join with the per-order returns.
-    per_order = fo.groupBy("order_id").agg(
-        F.max("order_date").alias("order_date"),
-        F.sum("order_quantity").cast("long").alias("_o"),
-        F.count(F.lit(1)).alias("_no"),
-    )
+    days = t["dim_date"].select(F.col("date").alias("order_date"), "year", "month")
+    fo = t["fact_orders"].select("order_id", "order_date", "order_quantity").join(days, "order_date")
     r = _returns_per_order(t)
     if fixed:
-        j = per_order.join(r, "order_id", "left")
-        num, den = F.sum(F.coalesce(F.col("_r"), F.lit(0))), F.sum("_o")
-    else:
-        j = per_order.join(r, "order_id")
-        num, den = F.sum(F.col("_r") * F.col("_no")), F.sum(F.col("_o") * F.col("_nr"))
-    out = j.groupBy(F.year("order_date").alias("year"), F.month("order_date").alias("month")).agg(
+        # an order's returns count once, in the month of its first row
+        first = fo.groupBy("order_id").agg(F.min(F.struct("order_date", "year", "month")).alias("_m"))
+        ordered = fo.groupBy("year", "month").agg(F.sum("order_quantity").alias("_den"))
+        returned = first.join(r, "order_id").groupBy("_m.year", "_m.month").agg(F.sum("_r").alias("_num"))
+        return ordered.join(returned, ["year", "month"], "left").select(
+            "year", "month", (as_double(F.coalesce(F.col("_num"), F.lit(0))) / F.col("_den")).alias("return_rate")
+        )
+    j = fo.join(r, "order_id")
+    num, den = F.sum("_r"), F.sum(F.col("order_quantity") * F.col("_nr"))
+    out = j.groupBy("year", "month").agg(
         (as_double(num) / den).alias("return_rate")
     )
     return out
@@ -85,18 +83,11 @@ def customer_return_rate(t: Tables) -> DataFrame:
 
     Returns are pre-aggregated per order as in the source; each order row then
     carries its order's returned total, as the source's join does."""
-    fo = t["fact_orders"]
-    # One customer per order: grouping by order_id alone keeps the result partitioned
-    # for the join with the per-order returns.
-    per_order = fo.groupBy("order_id").agg(
-        F.max("customer_id").alias("customer_id"),
-        F.sum("order_quantity").cast("long").alias("_o"),
-        F.count(F.lit(1)).alias("_no"),
-    )
-    j = per_order.join(_returns_per_order(t), "order_id", "left")
+    fo = t["fact_orders"].select("order_id", "customer_id", F.col("order_quantity").cast("long").alias("_o"))
+    j = fo.join(_returns_per_order(t), "order_id", "left")
     out = j.groupBy("customer_id").agg(
         F.sum("_o").alias("total_order_qty"),
-        F.coalesce(F.sum(F.col("_no") * F.col("_r")), F.lit(0)).cast("long").alias("total_return_qty"),
+        F.coalesce(F.sum("_r"), F.lit(0)).cast("long").alias("total_return_qty"),
     )
     out = out.withColumn("return_rate", div_or_null("total_return_qty", "total_order_qty"))
     return out.orderBy(F.col("return_rate").desc_nulls_last())

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
 
@@ -23,21 +24,34 @@ CLUSTER_SETTINGS = {
 }
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "tillpoint") -> SparkSession:
-    """Session for tests and local runs; on a cluster the launcher's settings win."""
-    spark = (
-        SparkSession.builder.master(master)
-        .appName(app)
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .getOrCreate()
-    )
+LOCAL_SETTINGS = {
+    "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
+    "spark.sql.shuffle.partitions": "8",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
+def build_session(master: str | None = None, shuffle_partitions: int | None = None, app: str = "tillpoint") -> SparkSession:
+    """A session in which the launcher's master and settings win.
+
+    Only what neither the launcher nor the caller gives is filled in: ``local[*]`` with
+    ``LOCAL_SETTINGS`` without any master, ``CLUSTER_SETTINGS`` on a cluster."""
+    SparkContext._ensure_initialized()  # only then does SparkConf see what the launcher set
+    given = SparkConf()
+    builder = SparkSession.builder
+    if not given.contains("spark.app.name"):
+        builder = builder.appName(app)
+    if master or not given.contains("spark.master"):
+        builder = builder.master(master or "local[*]")
+    at = master or given.get("spark.master", "local[*]")
+    defaults = LOCAL_SETTINGS if at.startswith("local") else CLUSTER_SETTINGS
+    for key, value in defaults.items():
+        if not given.contains(key):
+            builder = builder.config(key, value)
+    if shuffle_partitions is not None:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark

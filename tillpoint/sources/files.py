@@ -27,6 +27,17 @@ LAYOUT_ORDER = {
 }
 
 
+# A quote inside a quoted field is doubled, and NA stands for a missing value.
+CSV_DIALECT = {"quote": '"', "escape": '"', "nullValue": "NA"}
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, on any file system that Spark reads."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+
+
 def _spec(name: str | TableSpec) -> TableSpec:
     return name if isinstance(name, TableSpec) else SPECS[name]
 
@@ -51,9 +62,10 @@ def read_table(
     spec = _spec(name)
     path = os.path.join(directory, f"{spec.name}.csv")
     types = {f.name: f.dataType for f in (schema.fields if schema is not None else spec.struct.fields)}
-    file_cols = spark.read.option("header", header).csv(path).columns if header else list(types)
+    file_cols = spark.read.options(**CSV_DIALECT).option("header", header).csv(path).columns if header else list(types)
     raw = (
         spark.read.schema(T.StructType([T.StructField(c, T.StringType()) for c in file_cols]))
+        .options(**CSV_DIALECT)
         .option("header", header)
         .option("mode", "FAILFAST")
         .csv(path)
@@ -72,7 +84,7 @@ def read_table(
 
 def write_csv(df: DataFrame, path: str, *, mode: str = "overwrite") -> None:
     """CSV with a header and no row names; one folder of part files per table."""
-    df.write.mode(mode).option("header", True).csv(path)
+    df.write.mode(mode).options(**CSV_DIALECT).option("header", True).csv(path)
 
 
 def conform(df: DataFrame, name: str | TableSpec) -> DataFrame:
@@ -100,7 +112,7 @@ def load_table(
 
     Facts are partitioned by year so scans of a date range prune whole folders, and
     range-partitioned on their date first (``LAYOUT_ORDER``) into ``num_partitions``
-    tasks (default: the session's shuffle partitions). ``typed=False`` keeps the
+    tasks (default: the session's shuffle partitions, fewer where AQE finds little data). ``typed=False`` keeps the
     frame's own (wider) types, as the binding's ids are long.
     """
     spec = _spec(name)
@@ -113,8 +125,8 @@ def load_table(
             writer = writer.withColumn(p, F.year(F.col(PARTITION_SOURCE[p])))
     order = [c for c in LAYOUT_ORDER.get(spec.name, ()) if c in writer.columns]
     if order:
-        n = num_partitions or int(writer.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        writer = writer.repartitionByRange(n, *order).sortWithinPartitions(*parts, *order)
+        ranged = writer.repartitionByRange(num_partitions, *order) if num_partitions else writer.repartitionByRange(*order)
+        writer = ranged.sortWithinPartitions(*parts, *order)
     w = writer.write.mode(mode)
     if parts:
         w = w.partitionBy(*parts)
@@ -122,11 +134,21 @@ def load_table(
     return path
 
 
+def streamed_name(name: str) -> str:
+    """Folder of a table's streamed rows: the file sink's log governs a whole folder, so it has its own."""
+    return f"{name}__stream"
+
+
 def scan_table(spark: SparkSession, name: str, root: str, *, keep_partition_columns: bool = True) -> DataFrame:
     """A stored table. Its year partition column is kept by default so that date
     filters can add the matching year predicate (``functions.measures.dated``) and
     prune whole folders; analyses select their own columns, so it does not leak."""
-    df = spark.read.parquet(os.path.join(root, name))
+    path = os.path.join(root, name)
+    streamed = os.path.join(root, streamed_name(name))
+    found = [p for p in (path, streamed) if path_exists(spark, p)]
+    df = spark.read.parquet(found[0] if found else path)
+    if len(found) > 1:  # batch and stream keep folders of their own
+        df = df.unionByName(spark.read.parquet(streamed))
     if keep_partition_columns:
         return df
     drop = [p for p in PARTITION_COLUMNS.get(name, ()) if p not in SPECS[name].names]
@@ -135,5 +157,7 @@ def scan_table(spark: SparkSession, name: str, root: str, *, keep_partition_colu
 
 def read_tables(spark: SparkSession, root: str, names: list[str] | None = None) -> Tables:
     """Retail tables stored by :func:`load_table`, as a lazy :class:`Tables`."""
-    names = names or [n for n in SPECS if os.path.exists(os.path.join(root, n))]
+    names = names or [
+        n for n in SPECS if any(path_exists(spark, os.path.join(root, p)) for p in (n, streamed_name(n)))
+    ]
     return Tables({n: (lambda n=n: scan_table(spark, n, root)) for n in names})

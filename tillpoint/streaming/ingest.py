@@ -11,7 +11,6 @@ a scheduled batch; any other trigger keeps the query running.
 
 from __future__ import annotations
 
-import hashlib
 import os
 
 from pyspark.sql import SparkSession
@@ -20,14 +19,12 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tillpoint.schemas import SPECS
-from tillpoint.session import ensure_checkpoint_dir
-from tillpoint.sources.files import PARTITION_COLUMNS, PARTITION_SOURCE
+from tillpoint.sources.files import CSV_DIALECT, PARTITION_COLUMNS, PARTITION_SOURCE, streamed_name
 
 
 def _default_checkpoint(spark: SparkSession, name: str, out_root: str) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
-    tag = hashlib.sha1(os.path.abspath(out_root).encode()).hexdigest()[:12]
-    return os.path.join(base.rstrip("/"), "tillpoint", "stream-ingest", f"{name}-{tag}")
+    """Beside the table itself, so that a restart from anywhere goes on where the last one stopped."""
+    return os.path.join(out_root, "_stream_checkpoints", name)
 
 
 def ingest_stream(
@@ -49,10 +46,13 @@ def ingest_stream(
     overrides the declared types. Returns the started query.
     """
     spec = SPECS[name]
+    if name == "fact_returns" and "return_id" not in (file_columns or [c.name for c in spec.columns]):
+        raise ValueError("streamed returns need their return_id: only a batch load can number them")
     types = {f.name: f.dataType for f in (schema.fields if schema is not None else spec.struct.fields)}
     cols = file_columns or list(types)
     raw = (
         spark.readStream.schema(T.StructType([T.StructField(c, T.StringType()) for c in cols]))
+        .options(**CSV_DIALECT)
         .option("header", True)
         .option("mode", "FAILFAST")
         .csv(landing_dir)
@@ -72,7 +72,7 @@ def ingest_stream(
     writer = (
         out.writeStream.format("parquet")
         .outputMode("append")
-        .option("path", os.path.join(out_root, name))
+        .option("path", os.path.join(out_root, streamed_name(name)))
         .option("checkpointLocation", checkpoint_location or _default_checkpoint(spark, name, out_root))
     )
     if parts:
