@@ -59,7 +59,10 @@ def final_messages(
     so_far = in_turn.rowsBetween(Window.unboundedPreceding, 0)
     events = events.select(
         "*",
-        F.greatest(F.sum((F.col("kind") == "message").cast("int")).over(so_far), F.lit(1)).alias("nth"),
+        (
+            F.sum((F.col("kind") == "message").cast("int")).over(so_far)
+            + (F.first("kind").over(so_far) != "message").cast("int")
+        ).alias("nth"),
         F.sum("starts").over(so_far).alias("start"),
         F.row_number().over(in_turn).alias("at"),
     )

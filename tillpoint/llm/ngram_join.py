@@ -381,5 +381,5 @@ def jaccard_components(
     again = placed.join(same_id, "id").select(F.col("rep").alias("u"), "v")
     parts = connected_components(edges.unionByName(again))
     return placed.join(parts, F.col("rep") == F.col("node"), "left").select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id")
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.coalesce("component", "rep")).alias("component_id")
     )
