@@ -6,8 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillpoint.session import ensure_checkpoint_dir
 
+#: Bytes of a batch that goes to a Python worker. Texts differ in length by orders of magnitude, so a
+#: limit by rows alone (Spark's 10,000) bounds no memory.
+BATCH_BYTES = 4 << 20
+_BATCH_KEY, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Table ``name`` of a data folder, by a path that only Spark needs to understand."""
     ensure_checkpoint_dir(spark)
+    if spark.conf.get(_BATCH_KEY, None) == _BATCH_DEFAULT:  # a setting of the user's own is left alone
+        spark.conf.set(_BATCH_KEY, str(BATCH_BYTES))
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
