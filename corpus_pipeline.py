@@ -15,7 +15,7 @@ from tillpoint.llm.decontamination import mark_leaks
 from tillpoint.llm.mixing import mix_sources
 from tillpoint.llm.ngram_join import jaccard_components
 from tillpoint.llm.sharding import byte_shards
-from tillpoint.llm.tables import read
+from tillpoint.llm.tables import read, release_shuffles
 from tillpoint.llm.toxicity import learn_toxicity, score_texts
 from tillpoint.session import scratch_path
 
@@ -34,7 +34,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """The document of least id of each component; of rows that share an id, one. Rows without an
     id are linked with nothing and stay."""
     parts = jaccard_components(docs)
-    copies = parts.where("doc_id <> component_id").select("doc_id").distinct()
+    copies = parts.where("doc_id <> component_id").select("doc_id").distinct().checkpoint()
+    release_shuffles(spark)
     named = docs.where("doc_id is not null").join(copies, "doc_id", "left_anti").dropDuplicates(["doc_id"])
     return named.select(docs.columns).unionByName(docs.where("doc_id is null"))
 

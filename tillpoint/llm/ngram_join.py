@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillpoint.llm.components import connected_components
+from tillpoint.llm.tables import release_shuffles
 from tillpoint.llm.textops import WordHasher, mix64, shingles, signed
 
 #: Words of a shingle, and the similarity from which documents link, in hundredths.
@@ -345,6 +346,7 @@ def jaccard_components(
 
     known = docs.where("id is not null")
     shared = shared_rows(prefix_rows(known, classes, width, similarity)).checkpoint()
+    release_shuffles(df.sparkSession)
     own = F.count("*").over(Window.partitionBy("sig"))
     enough = shared.withColumn("own", own).where(F.col("own") >= F.ceil(F.col("n") * EXTRA / 100))
     listed = listed_pairs(enough.select("token", "n", "sig"), similarity).checkpoint()
@@ -366,6 +368,7 @@ def jaccard_components(
     fetched = known.join(wanted.select("id").distinct(), "id", "left_semi").select("text")
     sets = fetched.mapInPandas(load, "sig long, tokens binary")
     sets = sets.join(wanted.select("sig"), "sig", "left_semi").dropDuplicates(["sig"]).checkpoint()
+    release_shuffles(df.sparkSession)
     edges = verify_pairs(pairs, sets, classes, similarity).unionByName(verify_blocks(members, block_pairs, sets, similarity))
 
     reps = representative.select("sig", "rep")

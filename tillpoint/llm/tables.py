@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tillpoint.session import ensure_checkpoint_dir
@@ -18,3 +20,13 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if spark.conf.get(_BATCH_KEY, None) == _BATCH_DEFAULT:  # a setting of the user's own is left alone
         spark.conf.set(_BATCH_KEY, str(BATCH_BYTES))
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete shuffle files that nothing refers to any more, after a checkpoint.
+
+    Spark does so when the driver collects its garbage, which it may not do for the whole length of
+    a job; until then the files of every earlier step fill the executors' disks.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
