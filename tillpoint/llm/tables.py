@@ -10,7 +10,7 @@ from tillpoint.session import ensure_checkpoint_dir
 
 #: Bytes of a batch that goes to a Python worker. Texts differ in length by orders of magnitude, so a
 #: limit by rows alone (Spark's 10,000) bounds no memory.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 _BATCH_KEY, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
 
 

@@ -264,7 +264,7 @@ def summary(weights: np.ndarray, features: Features) -> np.ndarray:
     return np.column_stack((np.ones(n), strongest, np.log1p(strong), strong / np.maximum(features.words, 1)))
 
 
-def chunks(texts: list[str], size: int = 1 << 20) -> Iterator[tuple[int, int]]:
+def chunks(texts: list[str], size: int = 1 << 18) -> Iterator[tuple[int, int]]:
     """Bounds of runs of texts of about ``size`` characters, one text at least."""
     total = np.cumsum([len(t) for t in texts])
     begin = 0
