@@ -105,14 +105,21 @@ def matching_promotions(
     by: list[str] | None = None,
 ) -> DataFrame:
     """(key row, promotion group) pairs whose range covers the day, with ``promotions``
-    = how many promotions of the group do. An inner range join with an equality on SKU,
-    so each key meets only its own SKU's promotions; promotions identical in SKU,
-    range and the ``by`` columns are collapsed into one row with their count first."""
+    = how many promotions of the group do. Promotions identical in SKU, range and the
+    ``by`` columns are one row with their count; each is cut into its months and joined
+    on (SKU, month) with the range as residual, so a pair is found in one month only and
+    a SKU with many promotions spreads over its months."""
     by = by or []
-    p = (
-        promotions.groupBy("product_sku", "start_date", "end_date", *by)
-        .agg(F.count(F.lit(1)).alias("promotions"))
-        .withColumnRenamed("product_sku", "_promo_sku")
+    p = promotions.where("start_date <= end_date").groupBy("product_sku", "start_date", "end_date", *by).agg(
+        F.count(F.lit(1)).alias("promotions")
     )
-    cond = (keys[sku] == p["_promo_sku"]) & keys[day].between(p["start_date"], p["end_date"])
-    return keys.join(p, cond, "inner").drop("_promo_sku")
+    p = p.withColumn(
+        "_promo_month",
+        F.explode(F.sequence(F.trunc("start_date", "MM"), F.trunc("end_date", "MM"), F.expr("interval 1 month"))),
+    ).withColumnRenamed("product_sku", "_promo_sku")
+    cond = (
+        (keys[sku] == p["_promo_sku"])
+        & (F.trunc(keys[day], "MM") == p["_promo_month"])
+        & keys[day].between(p["start_date"], p["end_date"])
+    )
+    return keys.join(p, cond, "inner").drop("_promo_sku", "_promo_month")

@@ -28,7 +28,8 @@ def _flagged_sku_days(t: Tables, **measures) -> DataFrame:
 def orders_with_promo(t: Tables) -> DataFrame:
     """v01: every order row plus ``is_promotion_active``, in one pass over the facts
     (a left range join against each SKU's disjoint covered intervals)."""
-    return flag_rows(t["fact_orders"], t["dim_promotions"])
+    # the year folder of stored tables is no column of the order rows
+    return flag_rows(t["fact_orders"].drop("order_year"), t["dim_promotions"])
 
 
 def promo_ratio(t: Tables) -> DataFrame:

@@ -35,13 +35,17 @@ def _joined(parts: list) -> Column:
 
 
 def pk_report(t: Tables, names: list[str] | None = None) -> DataFrame:
-    """dq1 over every table whose key columns are present: (table_name, key_value, rows, reason)."""
+    """dq1 over every table: (table_name, key_value, rows, reason). A table with rows but without
+    its key columns is one violation, with all its rows."""
     parts = []
     for name in names or list(SPECS):
         if name not in t:
             continue
         spec, df = SPECS[name], t[name]
         if not all(k in df.columns for k in spec.primary_key):
+            rows = df.agg(F.count(F.lit(1)).alias("rows")).where("rows > 0")
+            key_value, reason = F.lit(None).cast("string").alias("key_value"), F.lit("no key column").alias("reason")
+            parts.append(rows.select(F.lit(name).alias("table_name"), key_value, "rows", reason))
             continue
         v = pk_violations(df, list(spec.primary_key))
         parts.append(
@@ -65,53 +69,52 @@ def fk_orphans(child: DataFrame, parent: DataFrame, key: str, parent_key: str |
 def fk_report(t: Tables) -> DataFrame:
     """dq2 for every declared foreign key: (table_name, column_name, parent_table, orphan_rows).
 
-    Each child table is read once: its foreign-key columns are stacked into
-    (column, key) rows and counted per distinct key (partial aggregation); one
-    anti-join against the parents' keys, stacked the same way, finds the orphans
-    of all its foreign keys together, and one conditional aggregate counts them
-    per column. The join therefore moves one row per distinct key value, not one
-    per fact row, and no fact table is scanned more than once.
+    Each table is read once: its rows are stacked into one row per foreign key (parent, key,
+    number of the foreign key) and one for the key that others refer to (number -1), counted per
+    distinct key before the shuffle. One group per (parent, key) then tells whether the parent
+    exists and how many rows refer to it, so there is no join and a key held by most rows costs
+    one row per task.
     """
-    parts = []
-    for spec in SPECS.values():
-        if spec.name not in t:
-            continue
-        child = t[spec.name]
-        fks = [(c, p, pc) for c, p, pc in spec.foreign_keys if p in t and c in child.columns]
-        if not fks:
-            continue
-        key_type = child.schema[fks[0][0]].dataType
-        cast = key_type if all(child.schema[c].dataType == key_type for c, _, _ in fks) else T.StringType()
-        stacked = child.select(
-            F.explode(
-                F.array(*[F.struct(F.lit(c).alias("_col"), F.col(c).cast(cast).alias("_key")) for c, _, _ in fks])
-            ).alias("_s")
-        ).select("_s._col", "_s._key")
-        counts = stacked.where(F.col("_key").isNotNull()).groupBy("_col", "_key").agg(F.count(F.lit(1)).alias("_n"))
-        parents = reduce(
-            DataFrame.unionByName,
-            [t[p].select(F.lit(c).alias("_col"), F.col(pc).cast(cast).alias("_key")) for c, p, pc in fks],
-        ).distinct()
-        orphans = counts.join(parents, ["_col", "_key"], "left_anti")
-        totals = orphans.agg(
-            *[
-                F.coalesce(F.sum(F.when(F.col("_col") == c, F.col("_n"))), F.lit(0)).cast("long").alias(f"_o{i}")
-                for i, (c, _, _) in enumerate(fks)
-            ]
+    links = [
+        (spec.name, c, p, pc)
+        for spec in SPECS.values()
+        if spec.name in t
+        for c, p, pc in spec.foreign_keys
+        if p in t and c in t[spec.name].columns
+    ]
+    referred = dict.fromkeys((p, pc) for _, _, p, pc in links)
+    used = dict.fromkeys(n for n in SPECS if any(n in (child, p) for child, _, p, _ in links))
+    stacked = []
+    for name in used:
+        refs = [(p, c, i) for i, (child, c, p, _) in enumerate(links) if child == name]
+        refs += [(p, pc, -1) for p, pc in referred if p == name]
+        rows = [
+            F.struct(F.lit(p).alias("_parent"), F.col(c).cast("string").alias("_key"), F.lit(i).alias("_link"))
+            for p, c, i in refs
+        ]
+        stacked.append(t[name].select(F.explode(F.array(*rows)).alias("_r")).select("_r.*"))
+    keys = (
+        reduce(DataFrame.unionByName, stacked)
+        .where("_key is not null")
+        .groupBy("_parent", "_key")
+        .agg(
+            F.max(F.col("_link") == -1).alias("_found"),
+            *[F.count_if(F.col("_link") == i).alias(f"_n{i}") for i in range(len(links))],
         )
-        rows = F.array(
-            *[
-                F.struct(
-                    F.lit(spec.name).alias("table_name"),
-                    F.lit(c).alias("column_name"),
-                    F.lit(p).alias("parent_table"),
-                    F.col(f"_o{i}").alias("orphan_rows"),
-                )
-                for i, (c, p, _) in enumerate(fks)
-            ]
+    )
+    totals = keys.where(~F.col("_found")).agg(
+        *[F.coalesce(F.sum(f"_n{i}"), F.lit(0)).alias(f"_o{i}") for i in range(len(links))]
+    )
+    report = [
+        F.struct(
+            F.lit(child).alias("table_name"),
+            F.lit(c).alias("column_name"),
+            F.lit(p).alias("parent_table"),
+            F.col(f"_o{i}").alias("orphan_rows"),
         )
-        parts.append(totals.select(F.explode(rows).alias("_r")).select("_r.*"))
-    return reduce(DataFrame.unionByName, parts)
+        for i, (child, c, p, _) in enumerate(links)
+    ]
+    return totals.select(F.explode(F.array(*report)).alias("_r")).select("_r.*")
 
 
 def _checks(df: DataFrame, spec: TableSpec) -> list[tuple[str, str, F.Column]]:

@@ -68,6 +68,7 @@ def build_registry(as_of=AS_OF) -> dict[str, Callable[[Tables], DataFrame]]:
         "q04_promo_ratio": promotions.promo_ratio,
         "q05_avg_delivery_by_carrier": logistics.avg_delivery_by_carrier,
         "q06_rfm": lambda t: customers.rfm_rank(t, as_of),
+        "q06_rfm_all": lambda t: customers.rfm_rank(t, as_of, k=None),
         "q07_top_categories_profit": sales.top_categories,
         "q08_products_without_sales": products.products_without_sales,
         "q08_products_without_sales_2000q1": lambda t: products.products_without_sales(t, "2000-01-01", "2000-03-31"),
