@@ -9,6 +9,7 @@ import pytest
 
 from tests.conftest import D, make_tables, money, order
 from tillpoint.plans import customers, logistics, prep, products, promotions, quality, returns, sales
+from tillpoint.tables import Tables
 
 
 def rows(df, *cols):
@@ -245,3 +246,39 @@ def test_discount_buckets_with_amount_edges(spark):
     t = make_tables(spark, fact_orders=[dict(order(i, 1), product_discount=money(v)) for i, v in enumerate(vals)])
     got = dict(rows(promotions.avg_discount_by_bucket(t, (0, 1000, 3000), suffix=""), "discount_bucket", "avg_discount"))
     assert got == {"0": 0.0, "1-1000": 1000.0, "1001-3000": 2000.01, "3000+": 3000.01}  # 2000.005 rounds up
+
+
+def test_foreign_and_primary_key_reports(spark):
+    """Planted orphans, a NULL reference, repeated keys, and a table without its key column."""
+    t = make_tables(
+        spark,
+        dim_products=[dict(product_sku=1), dict(product_sku=1), dict(product_sku=2)],
+        dim_customers=[dict(customer_id=1)],
+        dim_retailers=[dict(retailer_id=1)],
+        fact_orders=[order(1, 1), order(2, 9), order(3, 9, customer=None), order(4, 2, customer=7)],
+        fact_returns=[dict(return_id=1, order_id=1, product_sku=1), dict(return_id=2, order_id=99, product_sku=1)],
+    )
+    got = {(r["table_name"], r["column_name"]): r["orphan_rows"] for r in quality.fk_report(t).collect()}
+    expected = {("fact_orders", "product_sku"): 2, ("fact_orders", "customer_id"): 1, ("fact_returns", "order_id"): 1}
+    assert {k: n for k, n in got.items() if n} == expected
+    keyless = Tables(
+        dim_products=t["dim_products"], fact_returns=t["fact_returns"].drop("return_id"), dim_customers=t["dim_customers"]
+    )
+    assert {tuple(r) for r in quality.pk_report(keyless).collect()} == {
+        ("dim_products", "1", 2, "duplicate key"),
+        ("fact_returns", None, 2, "no key column"),
+    }
+
+
+def test_campaign_profit_over_months(spark):
+    """A promotion over several months counts an order once; one that ends before it starts counts for none."""
+    t = make_tables(
+        spark,
+        fact_orders=[order(1, 1, day=D(2021, 1, 31)), order(2, 1, day=D(2021, 2, 1)), order(3, 1, day=D(2021, 4, 1))],
+        dim_promotions=[
+            dict(promotion_id=1, product_sku=1, start_date=D(2021, 1, 15), end_date=D(2021, 3, 15), campaign_name="a"),
+            dict(promotion_id=2, product_sku=1, start_date=D(2021, 1, 15), end_date=D(2021, 3, 15), campaign_name="a"),
+            dict(promotion_id=3, product_sku=1, start_date=D(2021, 4, 15), end_date=D(2021, 3, 1), campaign_name="b"),
+        ],
+    )
+    assert [tuple(r) for r in promotions.top_campaigns_by_profit(t, k=5).collect()] == [("a", money(20))]
