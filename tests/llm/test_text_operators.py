@@ -9,6 +9,7 @@ import random
 import re
 import zlib
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -82,6 +83,28 @@ def test_jaccard_components_equal_brute_force(spark, monkeypatch):
     assert sorted((tuple(r) for r in got), key=str) == brute_components(rows)
 
 
+def test_long_posting_lists_pass_through_in_batches():
+    rng = random.Random(13)
+    rows = [(5, s) for s in range(1000)] + [(t, rng.randrange(4)) for t in range(6, 40) for _ in range(rng.randrange(1, 5))]
+    rows += [(50, s) for s in range(6)] + [(51, 1), (52, 1), (52, 1), (53, 1), (53, 2)]
+    rows = sorted(rows + rows[::3])
+    for size in (1, 7, 50, 5000):
+        taken = []
+
+        def batches(size=size, taken=taken):
+            for k in range(0, len(rows), size):
+                taken.append(k)
+                yield pd.DataFrame(rows[k : k + size], columns=["token", "sig"]).assign(n=9)
+
+        got = []
+        for part in ngram_join.tagged_lists(batches(), 6):
+            assert len(part) <= size + 5
+            got += part[["token", "sig", "long"]].itertuples(index=False, name=None)
+            assert len(got) + size + 5 >= len({r for r in rows[: taken[-1] + size] if r[0] == 5})
+        held = {t: len({s for u, s in rows if u == t}) for t, _ in rows}
+        assert got == [(t, s, held[t] >= 6) for t, s in sorted(set(rows)) if held[t] > 1]
+
+
 def test_components_of_paths_and_hubs(spark):
     pairs = [(k, k + 1) for k in range(1, 40)] + [(1000, 2000 + k) for k in range(50)] + [(7, 7), (None, 3)]
     got = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(pairs, "u long, v long")).collect()}

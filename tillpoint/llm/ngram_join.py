@@ -138,7 +138,7 @@ def _table(parts: list[tuple[np.ndarray, int, int]]) -> pd.DataFrame:
 
 
 def _runs(batches: Iterator[pd.DataFrame], key: str) -> Iterator[pd.DataFrame]:
-    """Rows of sorted batches regrouped so that no run of equal keys is cut."""
+    """Rows of sorted batches regrouped so that no run of equal keys is cut (for short runs only)."""
     held: list[pd.DataFrame] = []
     for batch in batches:
         if not len(batch):
@@ -156,38 +156,59 @@ def _runs(batches: Iterator[pd.DataFrame], key: str) -> Iterator[pd.DataFrame]:
         yield pd.concat(held, ignore_index=True)
 
 
+def tagged_lists(batches: Iterator[pd.DataFrame], long_list: int) -> Iterator[pd.DataFrame]:
+    """Rows, sorted by token and signature, of tokens that two different sets hold at least, each
+    once; ``long`` tells those that ``long_list`` sets hold. Of a list no more rows wait than it
+    takes to tell: a long one goes on batch by batch."""
+    held, last = None, None  # the last token's rows while its list is short, else its last row's keys
+    for batch in batches:
+        part = batch if held is None else pd.concat([held, batch], ignore_index=True)
+        token, sig = part["token"].to_numpy(), part["sig"].to_numpy()
+        new = np.ones(len(part), dtype=bool)
+        new[1:] = (token[1:] != token[:-1]) | (sig[1:] != sig[:-1])
+        if last is not None and len(part):
+            new[0] = (token[0], sig[0]) != last
+        part, token, sig = part[new], token[new], sig[new]
+        if not len(part):
+            continue
+        begin = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
+        size = np.diff(np.concatenate((begin, [len(token)])))
+        long = size >= long_list
+        long[0] |= last is not None and token[0] == last[0]
+        out = np.repeat(long | (size > 1), size)
+        if long[-1]:
+            held, last = None, (token[-1], sig[-1])
+        else:
+            held, last = part.iloc[begin[-1] :], None
+            out[begin[-1] :] = False
+        if out.any():
+            yield part[out].assign(long=np.repeat(long, size)[out])
+    if held is not None and len(held) > 1:
+        yield held.assign(long=False)
+
+
 def shared_rows(rows: DataFrame) -> DataFrame:
-    """The rows of tokens that two different sets hold at least, each once."""
+    """The rows of tokens that two different sets hold at least, each once; ``long`` tells the
+    tokens of long posting lists."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in _runs(batches, "token"):
-            token, sig = part["token"].to_numpy(), part["sig"].to_numpy()
-            new = np.concatenate(([True], (token[1:] != token[:-1]) | (sig[1:] != sig[:-1])))
-            part, token = part[new], token[new]
-            same = token[1:] == token[:-1]
-            shared = np.concatenate(([False], same)) | np.concatenate((same, [False]))
-            if shared.any():
-                yield part[shared]
+        yield from tagged_lists(batches, LONG_LIST)
 
     schema = ", ".join(f"{c} long" for c in rows.columns)
-    return rows.repartition("token").sortWithinPartitions("token", "sig").mapInPandas(run, schema)
+    return rows.repartition("token").sortWithinPartitions("token", "sig").mapInPandas(run, f"{schema}, long boolean")
 
 
 def listed_pairs(rows: DataFrame, similarity: int) -> DataFrame:
-    """Short posting lists as pairs of sets of fitting size with the number of lists (``c``); a
-    member of a long one as (its signature, the token) with ``c`` = 0."""
+    """The pairs of sets of fitting size in short posting lists, with the number of lists (``c``)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in _runs(batches, "token"):
             token, n, sig = (part[c].to_numpy() for c in ("token", "n", "sig"))
-            begin = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
-            size = np.diff(np.concatenate((begin, [len(token)])))
-            for at in begin[size >= LONG_LIST]:
-                end = int(np.searchsorted(token, token[at], side="right"))
-                yield pd.DataFrame({"a": sig[at:end], "b": token[at:end], "na": n[at:end], "nb": 0, "c": 0})
             left, right = [], []
-            for k in range(1, min(LONG_LIST, int(size.max()))):
-                i = np.flatnonzero((token[k:] == token[:-k]) & (np.repeat(size, size)[k:] < LONG_LIST))
+            for k in range(1, min(LONG_LIST, len(part))):
+                i = np.flatnonzero(token[k:] == token[:-k])
+                if not len(i):
+                    break
                 left.append(i)
                 right.append(i + k)
             if not left:
@@ -203,7 +224,8 @@ def listed_pairs(rows: DataFrame, similarity: int) -> DataFrame:
             yield found.groupby(["a", "b", "na", "nb"], as_index=False).size().rename(columns={"size": "c"})
 
     schema = "a long, b long, na long, nb long, c long"
-    return rows.repartition("token").sortWithinPartitions("token").mapInPandas(run, schema)
+    short = rows.where("not long").select("token", "n", "sig")
+    return short.repartition("token").sortWithinPartitions("token").mapInPandas(run, schema)
 
 
 def blocks_of(long: DataFrame, share: int = 0) -> tuple[DataFrame, DataFrame]:
@@ -348,13 +370,13 @@ def jaccard_components(
     shared = shared_rows(prefix_rows(known, classes, width, similarity)).checkpoint()
     release_shuffles(df.sparkSession)
     own = F.count("*").over(Window.partitionBy("sig"))
-    enough = shared.withColumn("own", own).where(F.col("own") >= F.ceil(F.col("n") * EXTRA / 100))
-    listed = listed_pairs(enough.select("token", "n", "sig"), similarity).checkpoint()
+    enough = shared.withColumn("own", own).where(F.col("own") >= F.ceil(F.col("n") * EXTRA / 100)).drop("own").checkpoint()
+    listed = listed_pairs(enough, similarity)
 
     # of their common prefix shingles, linked sets have half in short lists or half in long ones
     least = F.ceil(F.least("na", "nb") * EXTRA / 200)
-    pairs = listed.where("c > 0").groupBy("a", "b", "na", "nb").agg(F.sum("c").alias("c")).where(F.col("c") >= least).select("a", "b")
-    long = listed.where("c = 0").select(F.col("a").alias("sig"), F.col("b").alias("token"), F.col("na").alias("n"))
+    pairs = listed.groupBy("a", "b", "na", "nb").agg(F.sum("c").alias("c")).where(F.col("c") >= least).select("a", "b")
+    long = enough.where("long").select("sig", "token", "n")
     members, block_pairs = blocks_of(long, EXTRA // 2)
     pairs, members = pairs.checkpoint(), members.checkpoint()
     wanted = pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).union(members.select("sig")).distinct()
