@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tillpoint.llm import chat_format, decontamination, language_id, mixing, ngram_join, sharding, token_counts, toxicity
 from tillpoint.llm.components import connected_components
-from tillpoint.llm.substring_dedup import paragraphs, repeated_passages
+from tillpoint.llm.substring_dedup import paragraphs, repeated_passages, set_sizes
 from tillpoint.llm.textops import WordHasher
 from tillpoint.llm.vector_dedup import near_vectors
 
@@ -151,6 +151,17 @@ def test_passages_of_short_sentences_and_lines_have_no_holes(spark):
         assert len({*zip(p.start.tolist(), p.end.tolist(), strict=True)}) == len(p.start)
 
 
+def test_paragraphs_link_by_their_different_shingles(spark):
+    phrase = "round and round the garden like a teddy bear went he "  # eleven shingles, however often
+    rows = [(1, phrase * 2 + "round and round the", "en", "a"), (2, phrase * 4 + "round and round the", "en", "a")]
+    got = repeated_passages(frame(spark, rows)).collect()
+    assert {(r["doc_id"], r["kept"]) for r in got} == {(1, True), (2, False)} and len({r["class_id"] for r in got}) == 1
+    rng, hasher = random.Random(14), WordHasher()
+    for _ in range(100):
+        p = paragraphs("".join(rng.choice("ab") + rng.choice([" ", " ", " ", ". ", "\n"]) for _ in range(80)), hasher)
+        assert set_sizes(p).tolist() == [len({*p.shingle[a:b].tolist()}) for a, b in zip(p.first, p.last, strict=True)]
+
+
 def test_byte_shards_are_gapless_and_even(spark):
     rng = random.Random(2)
     rows = edges(rng)[:8] + [(100 + k, sentences(rng, rng.randrange(1, 200)), "en", "a") for k in range(300)]
