@@ -368,6 +368,18 @@ def test_leaks_equal_full_edit_distance(spark):
     assert decontamination.leak_report(docs, bench.limit(0)).count() == 0
 
 
+def test_short_items_and_scripts_without_blanks_are_searched(spark):
+    long = "光合作用是植物利用光能把二氧化碳和水转化为有机物并释放氧气的过程这是考试的第一题"
+    items = [(1, long), (2, "Who  wrote Hamlet?"), (3, "東京"), (4, " \n "), (5, "Shakespeare, William"), (6, "x")]
+    rows = [
+        (1, "前文" + long[:20] + "了" + long[20:] + "后文", "zh", "a"), (2, "quiz: who wrote\nhamlet? hamlet, who wrote hamlet?", "en", "a"),
+        (3, "昨日東京で", "ja", "a"), (4, "昨日京都で who wrote Othello?", "ja", "a"), (5, "by shakespeare, wiliam", "en", "a"), (6, None, None, None),
+    ]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = sorted(tuple(r) for r in decontamination.leak_report(frame(spark, rows), bench).collect())
+    assert got == [(1, 1, 1, 2, 3 + len(long)), (2, 2, 0, 6, 23), (3, 3, 0, 2, 4), (5, 5, 1, 3, 22)]
+
+
 def test_prefix_token_counts_are_exact(spark):
     tokenizers = pytest.importorskip("tokenizers")
     library = tokenizers.Tokenizer.from_file(token_counts.default_vocabulary())

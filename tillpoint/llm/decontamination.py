@@ -18,8 +18,6 @@ from pyspark.sql import functions as F
 
 #: Edits allowed, as a share of an item's characters.
 MAX_ERROR = 0.05
-#: Items of fewer words are no evidence of a leak and are not searched.
-LEAST_WORDS = 5
 #: UTF-8 bytes of items that one search holds; a larger benchmark is searched block by block.
 BLOCK_BYTES = 16 << 20
 
@@ -105,7 +103,8 @@ class LeakSearch:
         starts: dict[int, set[int]] = defaultdict(set)
         for last, (size, places) in self.automaton.iter(text):
             for key, at in places:
-                starts[key].add(last - size + 1 - at)
+                if self.items[key][1] or key not in starts:  # without errors the first hit is the best
+                    starts[key].add(last - size + 1 - at)
         found = []
         for key, begins in sorted(starts.items()):
             item, errors = self.items[key]
@@ -158,7 +157,6 @@ def mark_leaks(
     item_col: str = "item_id",
     item_text_col: str = "text",
     max_error: float = MAX_ERROR,
-    least_words: int = LEAST_WORDS,
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """``documents`` with ``leaks``: for each benchmark item found in a whole text (item_id, edits,
@@ -166,8 +164,9 @@ def mark_leaks(
 
     Texts and items are compared in lower case with white space collapsed; ``edits`` is the least
     Levenshtein distance of the item to any part of the text, at most ``max_error`` of the item's
-    characters; ``start`` and ``end`` bound the first best part in the collapsed text. Items of
-    fewer than ``least_words`` words, null items and null item ids are not searched; an item id with
+    characters, so items of fewer than ``1 / max_error`` characters are found verbatim only, as part of a
+    word too; ``start`` and ``end`` bound the first best part in the collapsed text. Every item with a
+    text is searched, in words or not; null and blank items and null item ids are not. An item id with
     several texts is found by any of them. Null and empty texts have no leaks; repeated rows have
     the same ones; empty tables are served; a column ``leaks`` of the input is replaced.
 
@@ -179,7 +178,7 @@ def mark_leaks(
     kind = "array<struct<item_id:bigint,edits:int,start:int,end:int>>"
     out = documents.select(*[F.col(f"`{c}`") for c in kept]).withColumn("leaks", F.expr(f"cast(array() as {kind})"))
     for block in _blocks(benchmark, item_col, item_text_col, block_bytes):
-        items = [(i, t) for i, t in block if len(t.split()) >= least_words]
+        items = [(i, t) for i, t in block if normalise(t)]
         if not items:
             continue
 
