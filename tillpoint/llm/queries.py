@@ -9,18 +9,20 @@ from pyspark.sql import DataFrame, SparkSession
 from tillpoint.llm.chat_format import format_report
 from tillpoint.llm.decontamination import leak_report
 from tillpoint.llm.language_id import language_report
+from tillpoint.llm.merkle import manifest_report
 from tillpoint.llm.mixing import mixture_report
 from tillpoint.llm.ngram_join import jaccard_components
+from tillpoint.llm.oracles import ORACLE_SQL
 from tillpoint.llm.sharding import shard_report
 from tillpoint.llm.substring_dedup import repeated_passages
 from tillpoint.llm.tables import read
 from tillpoint.llm.token_counts import token_limit_report
 from tillpoint.llm.toxicity import toxicity_report
+from tillpoint.llm.turn_repair import repair_report
 from tillpoint.llm.vector_dedup import near_vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-#: Keys without an entry cannot be said in SQL; tests compare them with brute force.
-ORACLE_SQL: dict[str, str] = {}
+__all__ = ["ORACLE_SQL", "QUERIES"]  # keys without SQL cannot be said in it; tests compare them with brute force
 
 
 def _query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -90,3 +92,15 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of every document, and whether the tokens pass 512."""
     return token_limit_report(read(spark, sf_dir, "documents"))
+
+
+@_query
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every conversation after damage."""
+    return repair_report(read(spark, sf_dir, "conversations"))
+
+
+@_query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, proof and verification of every document in a manifest by language."""
+    return manifest_report(read(spark, sf_dir, "documents"))
