@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tillpoint.llm.chat_format import format_report
+from tillpoint.llm.context_tree import language_model_report
 from tillpoint.llm.decontamination import leak_report
 from tillpoint.llm.language_id import language_report
 from tillpoint.llm.merkle import manifest_report
@@ -100,6 +101,12 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_report(read(spark, sf_dir, "conversations"))
 
 
+@_query
+def op12_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every document by token frequencies and by a context tree over its bytes."""
+    return language_model_report(read(spark, sf_dir, "documents"))
+
+
 @_query
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf, proof and verification of every document in a manifest by language."""
