@@ -28,8 +28,10 @@ from tillpoint.session import ensure_checkpoint_dir, scratch_path
 DEPTH = 5
 #: Bytes of text in a block; its distinct byte runs and words are what a task holds.
 BLOCK_BYTES = 128 << 20
-#: Distinct keys collected before they are merged, and rows of a batch handed to Spark.
-MERGE_KEYS, ROWS = 1 << 21, 1 << 16
+#: Bytes of text worked on at a time (one text at least), as arrays of eight bytes for each of them.
+PIECE_BYTES = 512 << 10
+#: Keys collected before they are merged, and rows of a batch handed to Spark.
+MERGE_KEYS, ROWS = 1 << 19, 1 << 16
 END = 10
 _LN_2, _LN_PI, _HALF_LN_TAU = math.log(2), math.log(math.pi), math.log(2 * math.pi) / 2
 
@@ -71,6 +73,17 @@ class Spelling:
         return key
 
 
+def _pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Runs of rows of about ``PIECE_BYTES`` bytes of text."""
+    ends = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False), dtype=np.int64)
+    begin = 0
+    while begin < len(ends):
+        before = ends[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(ends, before + PIECE_BYTES, side="right")))
+        yield batch.slice(begin, end - begin)
+        begin = end
+
+
 def _merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     if not keys:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -87,15 +100,15 @@ class _Counter:
     def __init__(self) -> None:
         self.keys: list[np.ndarray] = []
         self.counts: list[np.ndarray] = []
-        self.held = 0
+        self.held = self.merged = 0
 
     def add(self, key: np.ndarray, count: np.ndarray) -> None:
         self.keys.append(key)
         self.counts.append(count)
         self.held += len(key)
-        if self.held > MERGE_KEYS:
+        if self.held > max(MERGE_KEYS, self.merged):
             key, count = _merged(self.keys, self.counts)
-            self.keys, self.counts, self.held = [key], [count], 0
+            self.keys, self.counts, self.held, self.merged = [key], [count], 0, len(key)
 
     def all(self) -> tuple[np.ndarray, np.ndarray]:
         return _merged(self.keys, self.counts)
@@ -116,24 +129,29 @@ def _gathered(depth: int):
                 names=["block", "key", "word", "n"],
             )
 
+    flag = 8 * (depth + 1)
+
+    def count(part: pa.RecordBatch, hasher: WordHasher, runs: _Counter, words: _Counter, spelt: dict) -> None:
+        trains = part.column("trains").to_numpy(zero_copy_only=False).astype(np.int64)
+        text = Spelling(part.column("text"), hasher)
+        key, n = np.unique(text.runs(depth) | (np.repeat(trains, text.size) << flag), return_counts=True)
+        runs.add(key & ((1 << flag) - 1), n * (key >> flag))
+        key, first, inverse = np.unique(text.hash, return_index=True, return_inverse=True)
+        n = np.bincount(inverse, weights=trains[text.doc], minlength=len(key)).astype(np.int64)
+        words.add(key, n)
+        for k, i in zip(key.tolist(), first.tolist(), strict=True):
+            if k not in spelt:
+                spelt[k] = text.data[text.start[i] : text.end[i]].tobytes()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, flag = WordHasher(), 8 * (depth + 1)
+        hasher = WordHasher()
         held: dict[int, tuple[_Counter, _Counter, dict]] = {}
         for batch in batches:
             blocks = batch.column("block").to_numpy()
             for block in np.unique(blocks).tolist():  # one, as a partition is a block
-                part = batch.filter(pa.array(blocks == block))
                 runs, words, spelt = held.setdefault(block, (_Counter(), _Counter(), {}))
-                trains = part.column("trains").to_numpy(zero_copy_only=False).astype(np.int64)
-                text = Spelling(part.column("text"), hasher)
-                key, n = np.unique(text.runs(depth) | (np.repeat(trains, text.size) << flag), return_counts=True)
-                runs.add(key & ((1 << flag) - 1), n * (key >> flag))
-                key, first, inverse = np.unique(text.hash, return_index=True, return_inverse=True)
-                n = np.bincount(inverse, weights=trains[text.doc], minlength=len(key)).astype(np.int64)
-                words.add(key, n)
-                for k, i in zip(key.tolist(), first.tolist(), strict=True):
-                    if k not in spelt:
-                        spelt[k] = text.data[text.start[i] : text.end[i]].tobytes()
+                for part in _pieces(batch.filter(pa.array(blocks == block))):
+                    count(part, hasher, runs, words, spelt)
         for block, (runs, words, spelt) in held.items():
             key, n = runs.all()
             yield from rows(block, key, None, n)
@@ -271,6 +289,21 @@ def _scored(depth: int, tokens: int, kinds: int, ends: int):
     whole = tokens + 0.5 * (kinds + 1)
     end_score = math.log10((ends + 0.5) / whole)
 
+    def scored(part: pa.RecordBatch, hasher: WordHasher, lengths: tuple, counts: tuple) -> pa.RecordBatch:
+        text, docs_n = Spelling(part.column("text"), hasher), part.num_rows
+        bits = lengths[1][np.searchsorted(lengths[0], text.runs(depth))]
+        held = counts[1][np.searchsorted(counts[0], text.hash)]
+        each = lambda w: np.bincount(text.doc, weights=w, minlength=docs_n)
+        columns = [
+            part.column("id"),
+            part.column("trains"),
+            pa.array(np.bincount(text.doc, minlength=docs_n) + 1),
+            pa.array(each(held > 0).astype(np.int64) + (ends > 0)),
+            pa.array(each(np.log10((held + 0.5) / whole)) + end_score),
+            pa.array(np.add.reduceat(bits, np.cumsum(text.size) - text.size)),
+        ]
+        return pa.RecordBatch.from_arrays(columns, names=names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, block = WordHasher(), None
         parts: tuple[list, list] = ([], [])
@@ -293,23 +326,8 @@ def _scored(depth: int, tokens: int, kinds: int, ends: int):
                     none = np.zeros(0, np.int64), np.zeros(0)
                     tables = [tuple(np.concatenate(x) for x in zip(none, *p, strict=True)) for p in parts]
                     parts = ([], [])
-                text = Spelling(part.column("text"), hasher)
-                (runs, lengths), (words, counts) = tables
-                bits = lengths[np.searchsorted(runs, text.runs(depth))]
-                first = np.cumsum(text.size) - text.size
-                held = counts[np.searchsorted(words, text.hash)]
-                docs, n = text.doc, part.num_rows
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("id"),
-                        part.column("trains"),
-                        pa.array(np.bincount(docs, minlength=n) + 1),
-                        pa.array(np.bincount(docs, weights=held > 0, minlength=n).astype(np.int64) + (ends > 0)),
-                        pa.array(np.bincount(docs, weights=np.log10((held + 0.5) / whole), minlength=n) + end_score),
-                        pa.array(np.add.reduceat(bits, first)),
-                    ],
-                    names=names,
-                )
+                for piece in _pieces(part):
+                    yield scored(piece, hasher, *tables)
 
     return run
 
