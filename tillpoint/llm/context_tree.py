@@ -16,6 +16,7 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
@@ -30,8 +31,8 @@ DEPTH = 5
 BLOCK_BYTES = 128 << 20
 #: Bytes of text worked on at a time (one text at least), as arrays of eight bytes for each of them.
 PIECE_BYTES = 512 << 10
-#: Keys collected before they are merged, and rows of a batch handed to Spark.
-MERGE_KEYS, ROWS = 1 << 19, 1 << 16
+#: Keys collected before they are merged, words before they are handed on, and rows of a batch for Spark.
+MERGE_KEYS, WORDS, ROWS = 1 << 19, 1 << 16, 1 << 16
 END = 10
 _LN_2, _LN_PI, _HALF_LN_TAU = math.log(2), math.log(math.pi), math.log(2 * math.pi) / 2
 
@@ -118,9 +119,10 @@ _PAIR_SCHEMA = "block int, key long, word binary, n long"
 
 
 def _gathered(depth: int):
-    """Distinct byte runs (word null) and words of each block, with their training counts."""
+    """Distinct byte runs (word null) and words of each block, with their training counts; a block with
+    many words may tell one of them several times, each time with what it has counted since."""
 
-    def rows(block: int, key: np.ndarray, words: list | None, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def rows(block: int, key: np.ndarray, n: np.ndarray, words: list | None = None) -> Iterator[pa.RecordBatch]:
         for i in range(0, len(key), ROWS):
             part = key[i : i + ROWS]
             word = pa.nulls(len(part), pa.binary()) if words is None else pa.array(words[i : i + ROWS], pa.binary())
@@ -129,6 +131,10 @@ def _gathered(depth: int):
                 names=["block", "key", "word", "n"],
             )
 
+    def told(block: int, words: _Counter, spelt: dict) -> Iterator[pa.RecordBatch]:
+        key, n = words.all()
+        yield from rows(block, key, n, [spelt[k] for k in key.tolist()])
+
     flag = 8 * (depth + 1)
 
     def count(part: pa.RecordBatch, hasher: WordHasher, runs: _Counter, words: _Counter, spelt: dict) -> None:
@@ -152,11 +158,13 @@ def _gathered(depth: int):
                 runs, words, spelt = held.setdefault(block, (_Counter(), _Counter(), {}))
                 for part in _pieces(batch.filter(pa.array(blocks == block))):
                     count(part, hasher, runs, words, spelt)
+                    if len(spelt) > WORDS:
+                        yield from told(block, words, spelt)
+                        words, spelt = _Counter(), {}
+                held[block] = runs, words, spelt
         for block, (runs, words, spelt) in held.items():
-            key, n = runs.all()
-            yield from rows(block, key, None, n)
-            key, n = words.all()
-            yield from rows(block, key, [spelt[k] for k in key.tolist()], n)
+            yield from rows(block, *runs.all())
+            yield from told(block, words, spelt)
 
     return run
 
@@ -283,16 +291,28 @@ def code_lengths(runs: DataFrame, tree: list[DataFrame]) -> DataFrame:
     return first.join(rest, "key", "left").select("key", (F.col("val") + F.coalesce("more", F.lit(0.0))).alias("val"))
 
 
+class _Table:
+    """Values by key; keys come ascending, repeated ones with one value. A missing key has ``default``."""
+
+    def __init__(self, parts: list[tuple[np.ndarray, np.ndarray]], default: float) -> None:
+        key = np.concatenate([np.zeros(0, np.int64), *[k for k, _ in parts]])
+        val = np.concatenate([np.zeros(0), *[v for _, v in parts]])
+        own = np.concatenate(([True], key[1:] != key[:-1]))[: len(key)]
+        self.places, self.values = pd.Index(key[own]), np.append(val[own], default)
+
+    def __getitem__(self, key: np.ndarray) -> np.ndarray:
+        return self.values[self.places.get_indexer(key)]  # -1, the last value, where it is missing
+
+
 def _scored(depth: int, tokens: int, kinds: int, ends: int):
     """Scores of a block's texts, which follow the code lengths of its byte runs and its words' counts."""
     names = ["id", "trains", "n_tokens", "n_known", "base_score", "score"]
     whole = tokens + 0.5 * (kinds + 1)
     end_score = math.log10((ends + 0.5) / whole)
 
-    def scored(part: pa.RecordBatch, hasher: WordHasher, lengths: tuple, counts: tuple) -> pa.RecordBatch:
+    def scored(part: pa.RecordBatch, hasher: WordHasher, lengths: _Table, counts: _Table) -> pa.RecordBatch:
         text, docs_n = Spelling(part.column("text"), hasher), part.num_rows
-        bits = lengths[1][np.searchsorted(lengths[0], text.runs(depth))]
-        held = counts[1][np.searchsorted(counts[0], text.hash)]
+        bits, held = lengths[text.runs(depth)], counts[text.hash]
         each = lambda w: np.bincount(text.doc, weights=w, minlength=docs_n)
         columns = [
             part.column("id"),
@@ -307,7 +327,7 @@ def _scored(depth: int, tokens: int, kinds: int, ends: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, block = WordHasher(), None
         parts: tuple[list, list] = ([], [])
-        tables: list[tuple[np.ndarray, np.ndarray]] | None = None
+        tables: tuple[_Table, _Table] | None = None
         for batch in batches:
             blocks = batch.column("block").to_numpy()
             for here in np.unique(blocks).tolist():
@@ -323,8 +343,7 @@ def _scored(depth: int, tokens: int, kinds: int, ends: int):
                 if not part.num_rows:
                     continue
                 if tables is None:
-                    none = np.zeros(0, np.int64), np.zeros(0)
-                    tables = [tuple(np.concatenate(x) for x in zip(none, *p, strict=True)) for p in parts]
+                    tables = _Table(parts[0], math.nan), _Table(parts[1], 0.0)
                     parts = ([], [])
                 for piece in _pieces(part):
                     yield scored(piece, hasher, *tables)
