@@ -28,11 +28,11 @@ from tillpoint.session import ensure_checkpoint_dir, scratch_path
 #: Bytes of context. A run of DEPTH + 1 bytes is one key, so at most 6.
 DEPTH = 5
 #: Bytes of text in a block; its distinct byte runs and words are what a task holds.
-BLOCK_BYTES = 128 << 20
+BLOCK_BYTES = 64 << 20
 #: Bytes of text worked on at a time (one text at least), as arrays of eight bytes for each of them.
 PIECE_BYTES = 512 << 10
 #: Keys collected before they are merged, words before they are handed on, and rows of a batch for Spark.
-MERGE_KEYS, WORDS, ROWS = 1 << 19, 1 << 16, 1 << 16
+MERGE_KEYS, WORDS, ROWS = 1 << 19, 1 << 19, 1 << 16
 END = 10
 _LN_2, _LN_PI, _HALF_LN_TAU = math.log(2), math.log(math.pi), math.log(2 * math.pi) / 2
 
