@@ -173,7 +173,7 @@ def _settled(df: DataFrame, name: str) -> DataFrame:
     """Written to the shared scratch folder and read again."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.parquet(path)
 
 
@@ -380,8 +380,8 @@ def context_tree_scores(
     given = given.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(n_blocks)).cast("int"))
     texts = given.repartitionById(n_blocks, "block")
     pairs = _settled(texts.select("block", "text", "trains").mapInArrow(_gathered(depth), _PAIR_SCHEMA), "ctw-pairs")
-    words = pairs.where("word is not null").groupBy("word").agg(F.sum("n").alias("n"))
-    n_words, kinds = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > 0)).first()
+    words = _settled(pairs.where("word is not null").groupBy("word").agg(F.sum("n").alias("n")).where("n > 0"), "ctw-words")
+    n_words, kinds = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     runs = _settled(pairs.where("word is null").groupBy("key").agg(F.sum("n").alias("n")), "ctw-runs")
     lengths = code_lengths(runs, grow_tree(runs, depth))
     nothing = [F.lit(None).cast(given.schema[c].dataType).alias(c) for c in ("id", "text", "trains")]
