@@ -30,9 +30,9 @@ DEPTH = 5
 #: Bytes of text in a block; its distinct byte runs and words are what a task holds.
 BLOCK_BYTES = 64 << 20
 #: Bytes of text worked on at a time (one text at least), as arrays of eight bytes for each of them.
-PIECE_BYTES = 512 << 10
-#: Keys collected before they are merged, words before they are handed on, and rows of a batch for Spark.
-MERGE_KEYS, WORDS, ROWS = 1 << 19, 1 << 19, 1 << 16
+PIECE_BYTES = 256 << 10
+#: Keys collected before they are merged, and rows of a batch handed to Spark.
+MERGE_KEYS, ROWS = 1 << 18, 1 << 16
 END = 10
 _LN_2, _LN_PI, _HALF_LN_TAU = math.log(2), math.log(math.pi), math.log(2 * math.pi) / 2
 
@@ -85,86 +85,82 @@ def _pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         begin = end
 
 
-def _merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    if not keys:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    key, count = np.concatenate(keys), np.concatenate(counts)
-    order = np.argsort(key, kind="stable")
-    key, count = key[order], count[order]
-    head = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
-    return key[head], np.add.reduceat(count, head) if len(key) else count
-
-
 class _Counter:
-    """Distinct keys of a block with how often its training texts have them (0: others only)."""
+    """Distinct keys of a block with how often its training texts have them (0: others only), and the
+    words that they stand for, if they are words."""
 
     def __init__(self) -> None:
-        self.keys: list[np.ndarray] = []
-        self.counts: list[np.ndarray] = []
+        self.parts: list[tuple[np.ndarray, np.ndarray, pa.Array | None]] = []
         self.held = self.merged = 0
 
-    def add(self, key: np.ndarray, count: np.ndarray) -> None:
-        self.keys.append(key)
-        self.counts.append(count)
+    def add(self, key: np.ndarray, count: np.ndarray, words: pa.Array | None = None) -> None:
+        self.parts.append((key, count, words))
         self.held += len(key)
-        if self.held > max(MERGE_KEYS, self.merged):
-            key, count = _merged(self.keys, self.counts)
-            self.keys, self.counts, self.held, self.merged = [key], [count], 0, len(key)
-
-    def all(self) -> tuple[np.ndarray, np.ndarray]:
-        return _merged(self.keys, self.counts)
+        if self.held > max(MERGE_KEYS, self.merged // 4):
+            self.all()
+
+    def all(self) -> tuple[np.ndarray, np.ndarray, pa.Array | None]:
+        """Keys in ascending order, their counts and words."""
+        if len(self.parts) > 1:
+            keys, counts, words = zip(*self.parts, strict=True)
+            self.parts = []
+            key = np.concatenate(keys)
+            order = np.argsort(key, kind="stable")
+            key = key[order]
+            head = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))[: len(key)]
+            count = np.add.reduceat(np.concatenate(counts)[order], head) if len(key) else np.zeros(0, np.int64)
+            kept = None if words[0] is None else pa.concat_arrays(words).take(pa.array(order[head]))
+            self.parts, self.merged = [(key[head], count, kept)], len(head)
+        self.held = 0
+        return self.parts[0]
+
+
+def _cut(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
+    """The runs of bytes ``[start, end)`` as an Arrow array."""
+    size = end - start
+    offset = np.concatenate(([0], np.cumsum(size)))
+    held = data[np.repeat(start - offset[:-1], size) + np.arange(offset[-1])]
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(offset.astype(np.int64)), pa.py_buffer(held)])
 
 
 _PAIR_SCHEMA = "block int, key long, word binary, n long"
 
 
 def _gathered(depth: int):
-    """Distinct byte runs (word null) and words of each block, with their training counts; a block with
-    many words may tell one of them several times, each time with what it has counted since."""
+    """Distinct byte runs (word null) and words of each block, with their training counts."""
+    flag = 8 * (depth + 1)
 
-    def rows(block: int, key: np.ndarray, n: np.ndarray, words: list | None = None) -> Iterator[pa.RecordBatch]:
+    def rows(block: int, key: np.ndarray, n: np.ndarray, words: pa.Array | None) -> Iterator[pa.RecordBatch]:
         for i in range(0, len(key), ROWS):
             part = key[i : i + ROWS]
-            word = pa.nulls(len(part), pa.binary()) if words is None else pa.array(words[i : i + ROWS], pa.binary())
+            word = pa.nulls(len(part), pa.binary()) if words is None else words.slice(i, ROWS).cast(pa.binary())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(len(part), block, np.int32)), pa.array(part), word, pa.array(n[i : i + ROWS])],
                 names=["block", "key", "word", "n"],
             )
 
-    def told(block: int, words: _Counter, spelt: dict) -> Iterator[pa.RecordBatch]:
-        key, n = words.all()
-        yield from rows(block, key, n, [spelt[k] for k in key.tolist()])
-
-    flag = 8 * (depth + 1)
-
-    def count(part: pa.RecordBatch, hasher: WordHasher, runs: _Counter, words: _Counter, spelt: dict) -> None:
+    def count(part: pa.RecordBatch, hasher: WordHasher, runs: _Counter, words: _Counter) -> None:
         trains = part.column("trains").to_numpy(zero_copy_only=False).astype(np.int64)
         text = Spelling(part.column("text"), hasher)
         key, n = np.unique(text.runs(depth) | (np.repeat(trains, text.size) << flag), return_counts=True)
         runs.add(key & ((1 << flag) - 1), n * (key >> flag))
         key, first, inverse = np.unique(text.hash, return_index=True, return_inverse=True)
         n = np.bincount(inverse, weights=trains[text.doc], minlength=len(key)).astype(np.int64)
-        words.add(key, n)
-        for k, i in zip(key.tolist(), first.tolist(), strict=True):
-            if k not in spelt:
-                spelt[k] = text.data[text.start[i] : text.end[i]].tobytes()
+        words.add(key, n, _cut(text.data, text.start[first], text.end[first]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
-        held: dict[int, tuple[_Counter, _Counter, dict]] = {}
+        held: dict[int, tuple[_Counter, _Counter]] = {}
         for batch in batches:
             blocks = batch.column("block").to_numpy()
             for block in np.unique(blocks).tolist():  # one, as a partition is a block
-                runs, words, spelt = held.setdefault(block, (_Counter(), _Counter(), {}))
+                counters = held.setdefault(block, (_Counter(), _Counter()))
                 for part in _pieces(batch.filter(pa.array(blocks == block))):
-                    count(part, hasher, runs, words, spelt)
-                    if len(spelt) > WORDS:
-                        yield from told(block, words, spelt)
-                        words, spelt = _Counter(), {}
-                held[block] = runs, words, spelt
-        for block, (runs, words, spelt) in held.items():
-            yield from rows(block, *runs.all())
-            yield from told(block, words, spelt)
+                    count(part, hasher, *counters)
+        while held:
+            block, counters = held.popitem()
+            for counter in counters:
+                yield from rows(block, *counter.all())
 
     return run
 
