@@ -123,6 +123,8 @@ class Forest:
             joined = nodes.join(parents, ["g", "up"])
             joined = joined.withColumn("proof", F.when(F.col("n") > 1, own).otherwise(F.col("proof")))
             above = joined.drop("up") if k == 0 else joined.select("g", "idx", *given)
+            if k % 3 == 1:  # keeps the plan short; level 0, where most of the rows are, is not written
+                above = above.checkpoint()
         return above
 
 
