@@ -94,8 +94,8 @@ class Forest:
     """Trees over the nodes of each group.
 
     ``levels[k]``: nodes of level k (``g, idx, n, h, before, after``; level 0 with the columns of the
-    rows), without those of groups that are one node by then. ``tops``: ``g, depth, h`` for each group,
-    the digest that remains and its level.
+    rows). A group that is one node by then passes it on as it is. ``tops``: ``g, h`` for each group,
+    the digest that remains.
     """
 
     levels: list[DataFrame]
@@ -104,25 +104,20 @@ class Forest:
 
     def proofs(self, seeds: DataFrame) -> DataFrame:
         """The rows of level 0 with ``proof`` (an array of the siblings' digests ``before`` and
-        ``after`` for each level upwards) and all columns of ``seeds`` but ``g`` and ``depth``.
+        ``after`` for each level upwards) and all columns of ``seeds`` but ``g``.
 
-        ``seeds`` has, for each group, its ``g``, ``depth`` and a ``proof`` of what lies above it.
-        Every level takes its parents' proofs by one equijoin, from the top down, so a proof is
-        never gathered from rows and no key holds more than a run of nodes.
+        ``seeds`` has, for each group, its ``g`` and a ``proof`` of what lies above it. Every level
+        takes its parents' proofs by one equijoin, from the top down, so a proof is never gathered
+        from rows and no key holds more than a run of nodes.
         """
-        given = [c for c in seeds.columns if c not in ("g", "depth")]
-        seeds = seeds.checkpoint()  # read at every level
-        root = seeds.withColumn("idx", F.lit(0).cast("long"))
-        above = root.where(F.lit(False)).drop("depth")
+        given = [c for c in seeds.columns if c != "g"]
+        above = seeds.withColumn("up", F.lit(0).cast("long"))
+        own = F.concat(F.array(F.struct("before", "after")), F.col("proof"))
         for k in reversed(range(len(self.levels))):
-            ends = (F.col("depth") == k + 1) | ((F.col("depth") == 0) if k == 0 else F.lit(False))
-            parents = above.unionByName(root.where(ends).drop("depth")).withColumnRenamed("idx", "up")
-            nodes = self.levels[k] if k == 0 else self.levels[k].select("g", "idx", "n", "before", "after")
-            nodes = nodes.withColumn("up", F.floor(F.col("idx") / self.arity).cast("long"))
-            own = F.concat(F.array(F.struct("before", "after")), F.col("proof"))
-            joined = nodes.join(parents, ["g", "up"])
-            joined = joined.withColumn("proof", F.when(F.col("n") > 1, own).otherwise(F.col("proof")))
-            above = joined.drop("up") if k == 0 else joined.select("g", "idx", *given)
+            mine = self.levels[k].columns if k == 0 else ["g", F.col("idx").alias("up")]
+            joined = self.levels[k].withColumn("up", F.floor(F.col("idx") / self.arity).cast("long")).join(above, ["g", "up"])
+            more = [F.when(F.col("n") > 1, own).otherwise(F.col("proof")).alias(c) if c == "proof" else c for c in given]
+            above = joined.select(*mine, *more) if k == 0 else joined.drop("up").select(*mine, *more)
             if k % 3 == 1:  # keeps the plan short; level 0, where most of the rows are, is not written
                 above = above.checkpoint()
         return above
@@ -136,26 +131,18 @@ def grow(rows: DataFrame, order: Sequence[str], arity: int = ARITY) -> Forest:
     """
     nodes = _number(rows, order)
     most = nodes.agg(F.max("n")).first()[0] or 0
-    levels, tops, depth = [], [], 0
-    while True:
-        here = _siblings(nodes, arity).checkpoint()
-        tops.append(here.where("n = 1").select("g", F.lit(depth).alias("depth"), "h"))
-        if depth == 0 or most > 1:
-            levels.append(here if depth == 0 else here.where("n > 1"))
-        if most <= 1:
-            break
-        parent = _digest(_text(F.concat("h", "after")))
-        nodes = here.where((F.col("n") > 1) & (F.pmod("idx", F.lit(arity)) == 0)).select(
+    parent = F.when(F.col("n") > 1, _digest(_text(F.concat("h", "after")))).otherwise(F.col("h"))
+    levels = []
+    while most > 1 or not levels:
+        levels.append(_siblings(nodes, arity).checkpoint())
+        nodes = levels[-1].where(F.pmod("idx", F.lit(arity)) == 0).select(
             "g",
             F.floor(F.col("idx") / arity).cast("long").alias("idx"),
             F.ceil(F.col("n") / arity).cast("long").alias("n"),
             parent.alias("h"),
         )
-        most, depth = -(-most // arity), depth + 1
-    ends = tops[0]
-    for t in tops[1:]:
-        ends = ends.unionByName(t)
-    return Forest(levels, ends, arity)
+        most = -(-most // arity)
+    return Forest(levels, nodes.select("g", "h"), arity)
 
 
 @dataclass
@@ -177,7 +164,7 @@ def build_manifest(rows: DataFrame, group_col: str, order_col: str, leaf_col: st
     texts side by side; the last run of a level may hold fewer, even one. Nulls of group and order
     come first and make a group or a place like any value. Rows of equal order are placed by their
     leaf; equal rows are leaves of their own with one digest. An empty table has no rows and no root.
-    Columns of ``rows`` named like this module's own (``g idx n h before after up proof depth subroot``)
+    Columns of ``rows`` named like this module's own (``g idx n h before after up proof subroot``)
     must be renamed by the caller; the report below selects what it needs.
     """
     own = rows.withColumn("g", encode(F.col(group_col))).withColumnRenamed(leaf_col, "h")
@@ -189,17 +176,14 @@ def build_manifest(rows: DataFrame, group_col: str, order_col: str, leaf_col: st
         F.lit("").alias("g"),
         label.cast(ordered).alias("group_order"),
         F.col("g").alias("member"),
-        F.col("depth").alias("member_depth"),
         "h",
     )
     table = grow(groups, ["group_order", "member"], arity)
     top = table.tops.first()
     root = None if top is None else bytes(top["h"]).hex()
     nothing = F.array().cast("array<struct<before:binary,after:binary>>")
-    above = table.proofs(table.tops.select("g", "depth", nothing.alias("proof")))
-    seeds = above.select(
-        F.col("member").alias("g"), F.col("member_depth").alias("depth"), "proof", F.col("h").alias("subroot")
-    )
+    above = table.proofs(table.tops.select("g", nothing.alias("proof")))
+    seeds = above.select(F.col("member").alias("g"), "proof", F.col("h").alias("subroot"))
     out = forest.proofs(seeds).withColumnRenamed("h", leaf_col)
     return Manifest(
         out.select(*rows.columns, "subroot", "proof"), root, above.select("group_order", F.col("h").alias("subroot"))
