@@ -139,16 +139,40 @@ def streamed_name(name: str) -> str:
     return f"{name}__stream"
 
 
+def loads_name(name: str) -> str:
+    """Folder of the rows that checked loads have stored (``sources.keyed_load``), one below for each load."""
+    return f"{name}__loads"
+
+
+def _loaded(spark: SparkSession, name: str, root: str) -> DataFrame | None:
+    """Accepted rows of all finished loads of a table."""
+    from tillpoint.sources.ledger import finished_loads
+
+    base = os.path.join(root, loads_name(name))
+    kept = [
+        path
+        for e in finished_loads(spark, root)
+        if name in e["tables"] and path_exists(spark, path := os.path.join(base, f"batch={e['batch']}", "accepted=true"))
+    ]
+    if not kept:
+        return None
+    return spark.read.option("basePath", base).parquet(*kept).drop("batch", "accepted", "outcome", "times", "text")
+
+
 def scan_table(spark: SparkSession, name: str, root: str, *, keep_partition_columns: bool = True) -> DataFrame:
     """A stored table. Its year partition column is kept by default so that date
     filters can add the matching year predicate (``functions.measures.dated``) and
     prune whole folders; analyses select their own columns, so it does not leak."""
     path = os.path.join(root, name)
     streamed = os.path.join(root, streamed_name(name))
-    found = [p for p in (path, streamed) if path_exists(spark, p)]
-    df = spark.read.parquet(found[0] if found else path)
-    if len(found) > 1:  # batch and stream keep folders of their own
-        df = df.unionByName(spark.read.parquet(streamed))
+    found = [spark.read.parquet(p) for p in (path, streamed) if path_exists(spark, p)]
+    if (loaded := _loaded(spark, name, root)) is not None:
+        found.append(loaded)
+    if not found:
+        raise FileNotFoundError(f"no rows of {name} under {root}")
+    df = found[0]
+    for more in found[1:]:  # appends, streams and checked loads keep folders of their own
+        df = df.unionByName(more)
     if keep_partition_columns:
         return df
     drop = [p for p in PARTITION_COLUMNS.get(name, ()) if p not in SPECS[name].names]
@@ -158,6 +182,6 @@ def scan_table(spark: SparkSession, name: str, root: str, *, keep_partition_colu
 def read_tables(spark: SparkSession, root: str, names: list[str] | None = None) -> Tables:
     """Retail tables stored by :func:`load_table`, as a lazy :class:`Tables`."""
     names = names or [
-        n for n in SPECS if any(path_exists(spark, os.path.join(root, p)) for p in (n, streamed_name(n)))
+        n for n in SPECS if any(path_exists(spark, os.path.join(root, p)) for p in (n, streamed_name(n), loads_name(n)))
     ]
     return Tables({n: (lambda n=n: scan_table(spark, n, root)) for n in names})
