@@ -9,12 +9,15 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillpoint.plans import customers, logistics, prep, products, promotions, quality, returns, sales
 from tillpoint.session import scratch_path
+from tillpoint.schemas import SPECS
+from tillpoint.sources.keyed_load import load_batch, load_report, raw_violations
 from tillpoint.tables import Tables
 
 # Analysis date standing in for CURRENT_DATE (the day after the last order in the test data).
@@ -53,6 +56,43 @@ def _p08(t: Tables) -> DataFrame:
     return stored["fact_orders"].select(*t["fact_orders"].columns)
 
 
+def _faulty_csv(t: Tables, root: str) -> dict:
+    """All nine tables as CSV with faults by rule: names of every 50th customer are too long, prices of
+    every 97th order are no numbers, every 89th order names a retailer that is not there."""
+    customer, order, retailer = F.col("customer_id"), F.col("order_id"), F.col("retailer_id")
+    faulty = t.with_table(
+        "dim_customers",
+        t["dim_customers"].withColumn(
+            "customer_name", F.when(customer % 50 == 0, F.repeat("customer_name", 5)).otherwise(F.col("customer_name"))
+        ),
+    ).with_table(
+        "fact_orders",
+        t["fact_orders"]
+        .withColumn("product_price", F.when(order % 97 == 0, "n/a").otherwise(F.col("product_price").cast("string")))
+        .withColumn("retailer_id", F.when(order % 89 == 0, retailer + 900_000_000).otherwise(retailer)),
+    )
+    prep.export_csv(faulty, root, list(SPECS))
+    return {n: t[n].schema for n in SPECS}
+
+
+def _p08_checked(t: Tables) -> DataFrame:
+    """The faulty files of all nine tables loaded twice: rows by load, table and outcome."""
+    spark = t["fact_orders"].sparkSession
+    root = scratch_path(spark, "load")
+    schemas = _faulty_csv(t, os.path.join(root, "csv"))
+    for _ in range(2):
+        load_batch(spark, os.path.join(root, "csv"), os.path.join(root, "tables"), schemas=schemas)
+    return load_report(spark, os.path.join(root, "tables"))
+
+
+def _dq3_raw(t: Tables) -> DataFrame:
+    """Violations of declared types, lengths and domains in the text of the faulty files."""
+    spark = t["fact_orders"].sparkSession
+    root = scratch_path(spark, "raw")
+    _faulty_csv(t, root)
+    return reduce(DataFrame.unionByName, [raw_violations(spark, n, root) for n in SPECS])
+
+
 def build_registry(as_of=AS_OF) -> dict[str, Callable[[Tables], DataFrame]]:
     """All keys with their parameters bound; ``as_of`` is the analysis date (None = today)."""
     return {
@@ -134,10 +174,12 @@ def build_registry(as_of=AS_OF) -> dict[str, Callable[[Tables], DataFrame]]:
         "p06_return_id": lambda t: prep.with_return_id(t["fact_returns"]),
         "p07_enrich_returns": lambda t: prep.enrich_returns(t["fact_returns"].drop("product_sku"), t["fact_orders"]),
         "p08_ingest": _p08,
+        "p08_ingest_checked": _p08_checked,
         # data-quality jobs
         "dq1_primary_key": quality.pk_report,
         "dq2_foreign_key": quality.fk_report,
         "dq3_domain": quality.domain_report,
+        "dq3_domain_raw": _dq3_raw,
     }
 
 

@@ -111,13 +111,16 @@ class _Load:
         self.number = done[-1]["number"] + 1 if done else 1
         self.batch = f"{self.number:08d}-{uuid.uuid4().hex[:12]}"
         self.staged: dict[str, DataFrame] = {}
+        self._stored: dict[str, DataFrame | None] = {}
 
     def stored(self, name: str) -> DataFrame | None:
-        """Rows that count already, or None where the table has none."""
-        try:
-            return scan_table(self.spark, name, self.root, keep_partition_columns=False)
-        except FileNotFoundError:
-            return None
+        """Rows that counted when the load began, or None where the table has none."""
+        if name not in self._stored:
+            try:
+                self._stored[name] = scan_table(self.spark, name, self.root, keep_partition_columns=False)
+            except FileNotFoundError:
+                self._stored[name] = None
+        return self._stored[name]
 
     def rows(self, name: str) -> DataFrame | None:
         """Stored rows and those of this load."""
