@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillpoint.functions.measures import as_double, dated, month_start, net_sales, profit, revenue
-from tillpoint.operators.ranking import with_ntile, with_rank
+from tillpoint.operators.selection import with_rank_of_few, with_tiles
 from tillpoint.tables import Tables
 
 DateLike = str | dt.date
@@ -29,7 +29,7 @@ def customer_rfm(t: Tables, as_of: DateLike | None = None, n: int = 5) -> DataFr
     ``100*r + 10*f + m`` (a low score is a good customer).
 
     Ties inside each NTILE are broken by customer_id. The three NTILEs are exact
-    global tiles computed across partitions (see operators.ranking).
+    global tiles, found by selecting their ends (see operators.selection).
     """
     raw = t["fact_orders"].groupBy("customer_id").agg(
         F.max("order_date").alias("last_order_date"),
@@ -42,10 +42,8 @@ def customer_rfm(t: Tables, as_of: DateLike | None = None, n: int = 5) -> DataFr
         "frequency",
         "monetary",
     )
-    cid = F.col("customer_id").asc_nulls_last()
-    scored = with_ntile(scored, [F.col("recency").asc_nulls_last(), cid], n, "r_score")
-    scored = with_ntile(scored, [F.col("frequency").desc_nulls_last(), cid], n, "f_score")
-    scored = with_ntile(scored, [F.col("monetary").desc_nulls_last(), cid], n, "m_score")
+    order = {"r_score": F.col("recency"), "f_score": -F.col("frequency"), "m_score": -F.col("monetary")}
+    scored = with_tiles(scored, "customer_id", order, n)
     return scored.select(
         "customer_id", "recency", "frequency", "monetary", "r_score", "f_score", "m_score",
         (F.col("r_score") * 100 + F.col("f_score") * 10 + F.col("m_score")).alias("rfm_score"),
@@ -58,11 +56,11 @@ def rfm_rank(t: Tables, as_of: DateLike | None = None, k: int | None = 20, n: in
     The first k rows in (rfm_score, customer_id) order contain every row ranked
     before them, so the rank computed inside that top-k equals the global rank;
     the top-k itself is a distributed TakeOrderedAndProject. ``k=None`` ranks every
-    customer with the range-partitioned RANK of operators.ranking.
+    customer from the counts of the scores, of which there are at most n * n * n.
     """
     rfm = customer_rfm(t, as_of, n).select("customer_id", "rfm_score")
     if k is None:
-        return with_rank(rfm, "rfm_score", [F.col("customer_id").asc_nulls_last()], "rfm_rank")
+        return with_rank_of_few(rfm, "rfm_score", "rfm_rank")
     top = rfm.orderBy(F.col("rfm_score").asc_nulls_last(), F.col("customer_id").asc_nulls_last()).limit(k)
     return top.withColumn("rfm_rank", F.rank().over(Window.orderBy(F.col("rfm_score").asc_nulls_last())))
 
