@@ -15,10 +15,12 @@ from tillpoint.llm.textops import mix64, signed
 COSINE = 0.98
 #: Hash tables, projections in each, and the width of a quantised projection. Unit vectors of cosine
 #: 0.98 lie 0.2 apart and fall together in one projection with probability 0.84, so that a table
-#: finds them with 0.25 and all tables together with 0.999.
-TABLES, PROJECTIONS, CELL = 24, 8, 1.0
-#: Vectors of a block; a fuller bucket is compared block against block.
-BLOCK = 512
+#: finds them with 0.175 and all tables together with 0.999. Unlike vectors fall together in one
+#: projection with 0.27, in a table with two in a million.
+TABLES, PROJECTIONS, CELL = 36, 10, 1.0
+#: Vectors of a block; a fuller bucket is compared block against block. Buckets of up to SMALL vectors
+#: are compared many at a time.
+BLOCK, SMALL = 512, 8
 SEED = 41
 
 
@@ -78,6 +80,64 @@ def compare(group: pd.DataFrame, cosine: float) -> pd.DataFrame:
     return pd.concat([out, pd.DataFrame(edges, columns=["u", "v", "n"], dtype=np.int64)])
 
 
+def compare_small(members: pd.DataFrame, first: np.ndarray, size: np.ndarray, cosine: float) -> pd.DataFrame:
+    """The same for many small whole buckets at once: rows ``first`` to ``first + size`` are one each."""
+    place = np.arange(len(members)) - np.repeat(first, size)
+    right = np.repeat(np.arange(len(members)), place)  # every row against those before it in its bucket
+    ends = np.cumsum(place)
+    left = np.arange(len(right)) - np.repeat(ends - place, place) + np.repeat(np.repeat(first, size), place)
+    unit = np.frombuffer(b"".join(members["unit"]), dtype=np.float64).reshape(len(members), -1)
+    near = np.flatnonzero(np.einsum("ij,ij->i", unit[left], unit[right]) >= cosine)
+    left, right = left[near], right[near]
+    keys = np.frombuffer(b"".join(members["keys"]), dtype=np.int64).reshape(len(members), -1)
+    table = members["table"].to_numpy()
+    earlier = (keys[left] == keys[right]) & (np.arange(keys.shape[1]) < table[left][:, None])
+    new = ~earlier.any(axis=1)
+    left, right = left[new], right[new]
+    rep, copies = members["rep"].to_numpy(), members["copies"].to_numpy()
+    none = np.zeros(len(left), np.int64)
+    return pd.DataFrame(
+        {
+            "u": np.concatenate([rep[left], rep[right], rep[left]]),
+            "v": np.concatenate([rep[left], rep[right], rep[right]]),
+            "n": np.concatenate([copies[right], copies[left], none]),
+        }
+    )
+
+
+def compare_sorted(batches: Iterator[pd.DataFrame], cosine: float) -> Iterator[pd.DataFrame]:
+    """Links of blocks that come one after the other, each whole but cut anywhere by the batches."""
+    carried: list[pd.DataFrame] = []
+
+    def linked(members: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        members = members.reset_index(drop=True)
+        where = members[["bucket", "i", "j"]].to_numpy()
+        first = np.flatnonzero(np.concatenate(([True], (where[1:] != where[:-1]).any(axis=1))))
+        size = np.diff(np.append(first, len(members)))
+        small = (size <= SMALL) & (where[first, 1] == where[first, 2])
+        length = members["unit"].map(len).to_numpy()
+        for n in np.unique(length[first[small]]).tolist():  # a bucket holds vectors of one length
+            own = small & (length[first] == n)
+            rows = members[np.repeat(own, size)].reset_index(drop=True)
+            sizes = size[own]
+            yield compare_small(rows, np.cumsum(sizes) - sizes, sizes, cosine)
+        for at, n in zip(first[~small].tolist(), size[~small].tolist(), strict=True):
+            yield compare(members.iloc[at : at + n], cosine)
+
+    for batch in batches:
+        if not len(batch):
+            continue
+        carried.append(batch)
+        where = batch[["bucket", "i", "j"]].to_numpy()
+        fresh = np.flatnonzero((where != where[-1]).any(axis=1))
+        if len(fresh):  # all blocks before the batch's last one are whole
+            cut = int(fresh[-1]) + 1
+            yield from linked(pd.concat([*carried[:-1], batch.iloc[:cut]]))
+            carried = [batch.iloc[cut:]]
+    if carried:
+        yield from linked(pd.concat(carried))
+
+
 def near_vectors(
     df: DataFrame,
     id_col: str = "vec_id",
@@ -140,7 +200,8 @@ def near_vectors(
     )
     members = placed.join(known.select("label", "h1", "h2", "rep", "copies", "unit", "keys"), ["label", "h1", "h2"])
     found = members.select("bucket", "i", "j", "table", "salt", "rep", "copies", "unit", "keys")
-    found = found.groupBy("bucket", "i", "j").applyInPandas(lambda g: compare(g, cosine), "u long, v long, n long").checkpoint()
+    found = found.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    found = found.mapInPandas(lambda batches: compare_sorted(batches, cosine), "u long, v long, n long").checkpoint()
     linked = found.where("n > 0").groupBy(F.col("u").alias("rep")).agg(F.sum("n").alias("n"))
     parts = connected_components(found.where("n = 0").select("u", "v"))
     groups = (
