@@ -22,8 +22,9 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillpoint.llm.tables import settled
 from tillpoint.llm.textops import WordHasher, signed
-from tillpoint.session import ensure_checkpoint_dir, scratch_path
+from tillpoint.session import ensure_checkpoint_dir
 
 #: Bytes of context. A run of DEPTH + 1 bytes is one key, so at most 6.
 DEPTH = 5
@@ -165,14 +166,6 @@ def _gathered(depth: int):
     return run
 
 
-def _settled(df: DataFrame, name: str) -> DataFrame:
-    """Written to the shared scratch folder and read again."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.parquet(path)
-
-
 def _ln_gamma(x: Column) -> Column:
     """Stirling's series after seven steps upwards; for x of 1/2 or more."""
     y = x + 7
@@ -219,7 +212,7 @@ def grow_tree(runs: DataFrame, depth: int) -> list[DataFrame]:
         F.sum(F.when(F.col("d.b") == 1, F.col("n")).otherwise(0)).cast("double").alias("ones"),
     )
     leaf = counts.select((F.shiftleft("context", 8) + F.col("v")).alias("node"), "zeros", "ones")
-    levels = [_settled(leaf.withColumn("weighted", _ln_kt(F.col("zeros"), F.col("ones"))).withColumn("odds", F.lit(None).cast("double")), "ctw-nodes")]
+    levels = [settled(leaf.withColumn("weighted", _ln_kt(F.col("zeros"), F.col("ones"))).withColumn("odds", F.lit(None).cast("double")), "ctw-nodes")]
     for _ in range(depth):
         summed = levels[0].groupBy(_parent(F.col("node")).alias("node")).agg(
             F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("weighted").alias("below")
@@ -227,7 +220,7 @@ def grow_tree(runs: DataFrame, depth: int) -> list[DataFrame]:
         own = summed.withColumn("kt", _ln_kt(F.col("zeros"), F.col("ones")))
         most = F.greatest("kt", "below")
         both = most + F.log1p(F.exp(F.least("kt", "below") - most)) - _LN_2
-        levels.insert(0, _settled(own.select("node", "zeros", "ones", both.alias("weighted"), (F.col("kt") - F.col("below")).alias("odds")), "ctw-nodes"))
+        levels.insert(0, settled(own.select("node", "zeros", "ones", both.alias("weighted"), (F.col("kt") - F.col("below")).alias("odds")), "ctw-nodes"))
     ready: list[DataFrame] = []
     for level in levels:
         one = (F.col("ones") + 0.5) / (F.col("zeros") + F.col("ones") + 1.0)
@@ -238,7 +231,7 @@ def grow_tree(runs: DataFrame, depth: int) -> list[DataFrame]:
         else:
             own = level.withColumn("share", F.lit(0.0)).withColumn("left", F.lit(1.0))
         ready.append(
-            _settled(
+            settled(
                 own.select(
                     "node",
                     (F.col("share") + F.col("left") * one).alias("p"),
@@ -264,7 +257,7 @@ def code_lengths(runs: DataFrame, tree: list[DataFrame]) -> DataFrame:
     lacking = F.filter(
         F.array(*[F.when(p.isNull(), F.struct(v.alias("v"), b.alias("b"))) for v, b, p in steps]), lambda s: s.isNotNull()
     )
-    first = _settled(own.select("key", direct.alias("val"), lacking.alias("lacking")), "ctw-lengths")
+    first = settled(own.select("key", direct.alias("val"), lacking.alias("lacking")), "ctw-lengths")
     # The few decisions not seen after the whole context: look at every shorter one, take the longest seen.
     open_ones = first.where(F.size("lacking") > 0).select("key", F.explode("lacking").alias("s")).select("key", "s.*")
     shorter = [
@@ -375,10 +368,10 @@ def context_tree_scores(
     n_blocks = max(spark.sparkContext.defaultParallelism, -(-(total or 0) // BLOCK_BYTES))
     given = given.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(n_blocks)).cast("int"))
     texts = given.repartitionById(n_blocks, "block")
-    pairs = _settled(texts.select("block", "text", "trains").mapInArrow(_gathered(depth), _PAIR_SCHEMA), "ctw-pairs")
-    words = _settled(pairs.where("word is not null").groupBy("word").agg(F.sum("n").alias("n")).where("n > 0"), "ctw-words")
+    pairs = settled(texts.select("block", "text", "trains").mapInArrow(_gathered(depth), _PAIR_SCHEMA), "ctw-pairs")
+    words = settled(pairs.where("word is not null").groupBy("word").agg(F.sum("n").alias("n")).where("n > 0"), "ctw-words")
     n_words, kinds = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    runs = _settled(pairs.where("word is null").groupBy("key").agg(F.sum("n").alias("n")), "ctw-runs")
+    runs = settled(pairs.where("word is null").groupBy("key").agg(F.sum("n").alias("n")), "ctw-runs")
     lengths = code_lengths(runs, grow_tree(runs, depth))
     nothing = [F.lit(None).cast(given.schema[c].dataType).alias(c) for c in ("id", "text", "trains")]
     asked = pairs.where("word is null").select("block", "key").join(lengths, "key")

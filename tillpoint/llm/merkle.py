@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillpoint.llm.tables import settled
 from tillpoint.session import ensure_checkpoint_dir
 
 ARITY = 2
@@ -44,19 +45,19 @@ def _number(rows: DataFrame, order: Sequence[str]) -> DataFrame:
     of the columns ``order``) and ``n`` (rows of the group).
 
     Rows go to range partitions, so that a group of any size is spread; equal rows are told apart by
-    where they stood, so that those are spread too. The sorted partitions are written to the
-    checkpoint folder, which fixes them; a count for each partition and group gives the offsets.
+    where they stood, so that those are spread too. The sorted partitions are written, which
+    fixes them; a count for each partition and group gives the offsets.
     """
     ensure_checkpoint_dir(rows.sparkSession)
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = ["g", *order, "_stood"]
-    placed = (
+    placed = settled(
         rows.withColumn("_stood", F.monotonically_increasing_id())
         .repartitionByRange(parts, *keys)
         .sortWithinPartitions(*keys)
         .withColumn("_part", F.spark_partition_id())
-        .withColumn("_at", F.monotonically_increasing_id())
-        .checkpoint()
+        .withColumn("_at", F.monotonically_increasing_id()),
+        "merkle-rows",
     )
     held = placed.groupBy("g", "_part").agg(F.min("_at").alias("_first"), F.count("*").alias("_rows"))
     group = Window.partitionBy("g")
@@ -119,14 +120,14 @@ class Forest:
             more = [F.when(F.col("n") > 1, own).otherwise(F.col("proof")).alias(c) if c == "proof" else c for c in given]
             above = joined.select(*mine, *more) if k == 0 else joined.drop("up").select(*mine, *more)
             if k % 3 == 1:  # keeps the plan short; level 0, where most of the rows are, is not written
-                above = above.checkpoint()
+                above = settled(above, "merkle-proofs")
         return above
 
 
 def grow(rows: DataFrame, order: Sequence[str], arity: int = ARITY) -> Forest:
     """Trees over the rows (``g``, ``h`` and others) of each group, in the order of ``order``.
 
-    Every level is written to the checkpoint folder, where the next one reads it. The number of
+    Every level is written to the shared scratch folder, where the next one reads it. The number of
     levels follows from the largest group.
     """
     nodes = _number(rows, order)
@@ -134,7 +135,7 @@ def grow(rows: DataFrame, order: Sequence[str], arity: int = ARITY) -> Forest:
     parent = F.when(F.col("n") > 1, _digest(_text(F.concat("h", "after")))).otherwise(F.col("h"))
     levels = []
     while most > 1 or not levels:
-        levels.append(_siblings(nodes, arity).checkpoint())
+        levels.append(settled(_siblings(nodes, arity), "merkle-level"))
         nodes = levels[-1].where(F.pmod("idx", F.lit(arity)) == 0).select(
             "g",
             F.floor(F.col("idx") / arity).cast("long").alias("idx"),

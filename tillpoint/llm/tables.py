@@ -6,7 +6,7 @@ import gc
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillpoint.session import ensure_checkpoint_dir
+from tillpoint.session import ensure_checkpoint_dir, scratch_path
 
 #: Bytes of a batch that goes to a Python worker. Texts differ in length by orders of magnitude, so a
 #: limit by rows alone (Spark's 10,000) bounds no memory.
@@ -22,6 +22,14 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def settled(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared scratch folder and read again: its lineage ends there, and unlike a
+    checkpoint nothing of its plan (statistics, constraints) goes on into the plans built on it."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def release_shuffles(spark: SparkSession) -> None:
     """Let Spark delete shuffle files that nothing refers to any more, after a checkpoint.
 
