@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillpoint.llm.tables import ddl, exact, restored
+
 #: Edits allowed, as a share of an item's characters.
 MAX_ERROR = 0.05
 #: UTF-8 bytes of items that one search holds; a larger benchmark is searched block by block.
@@ -174,9 +176,11 @@ def mark_leaks(
     larger benchmark passes over the documents once for each block.
     """
     kept = [c for c in documents.columns if c != "leaks"]
-    schema = ", ".join(f"`{c}` {documents.schema[c].dataType.simpleString()}" for c in kept)
     kind = "array<struct<item_id:bigint,edits:int,start:int,end:int>>"
-    out = documents.select(*[F.col(f"`{c}`") for c in kept]).withColumn("leaks", F.expr(f"cast(array() as {kind})"))
+    given = documents.select(*[F.col(f"`{c}`") for c in kept])
+    sent = exact(given, kept)
+    schema = ddl(sent)
+    out = sent.withColumn("leaks", F.expr(f"cast(array() as {kind})"))
     for block in _blocks(benchmark, item_col, item_text_col, block_bytes):
         items = [(i, t) for i, t in block if normalise(t)]
         if not items:
@@ -203,7 +207,7 @@ def mark_leaks(
                 yield batch.assign(leaks=leaks)
 
         out = out.mapInPandas(run, f"{schema}, leaks {kind}")
-    return out
+    return restored(out, given.schema)
 
 
 def leak_report(documents: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillpoint.llm.tables import ddl, exact, restored
+
 #: Ranks of a profile, of a document as of a language.
 PROFILE = 300
 #: Labelled rows (in expectation) from which the language profiles are counted.
@@ -139,8 +141,8 @@ def identify(
             out["lang_pred"], out["score"] = [f[0] for f in found], [float(f[1]) for f in found]
             yield out
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    return rows.mapInPandas(run, f"{schema}, lang_pred string, score double")
+    sent = exact(rows, rows.columns)
+    return restored(sent.mapInPandas(run, f"{ddl(sent.drop('_text'))}, lang_pred string, score double"), rows.schema)
 
 
 def held_out(id_col: str, parts: int, part: int) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillpoint.llm.components import connected_components
-from tillpoint.llm.tables import release_shuffles
+from tillpoint.llm.tables import exact, release_shuffles
 from tillpoint.llm.textops import WordHasher, mix64, shingles, signed
 
 #: Words of a shingle, and the similarity from which documents link, in hundredths.
@@ -86,11 +86,12 @@ def survey(docs: DataFrame, width: int) -> DataFrame:
                 sizes.append(len(own))
                 signatures.append(signature(own))
             docs += len(sizes)
-            yield pd.DataFrame({"id": batch["id"].astype("Int64"), "n": sizes, "key": signatures})
+            yield pd.DataFrame({"id": batch["id"], "n": sizes, "key": signatures})
         at = np.flatnonzero(seen >= max(4, docs * COMMON_SHARE) + 4 * seen.mean())
-        yield pd.DataFrame({"id": pd.array([None] * len(at), dtype="Int64"), "n": -seen[at], "key": at})
+        yield pd.DataFrame({"id": pd.Series([None] * len(at), dtype=object), "n": -seen[at], "key": at})
 
-    return docs.mapInPandas(run, "id long, n long, key long").checkpoint()
+    told = exact(docs, ["id", "text"]).mapInPandas(run, "id string, n long, key long")
+    return told.withColumn("id", F.col("id").cast("long")).checkpoint()
 
 
 def common_classes(surveyed: DataFrame) -> np.ndarray:

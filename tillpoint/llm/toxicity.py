@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillpoint.llm.tables import ddl, exact
+from tillpoint.llm.tables import restored as as_before
 from tillpoint.llm.textops import mix64
 
 #: Labelled rows that the classifier is fitted on, at most.
@@ -434,9 +436,9 @@ def score_texts(
                 out["predicted"] = (score >= threshold).astype(np.int32)
                 yield out
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    schema += ", restored string" * restored
-    return rows.mapInPandas(run, f"{schema}, score double, predicted int")
+    sent = exact(rows, rows.columns)
+    schema = ddl(sent.drop("_text")) + ", restored string" * restored
+    return as_before(sent.mapInPandas(run, f"{schema}, score double, predicted int"), rows.schema)
 
 
 def held_out(id_col: str) -> Column:
