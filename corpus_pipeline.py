@@ -7,6 +7,7 @@ last returns where each row goes. Documents pass between stages as Parquet.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,8 +22,22 @@ from tillpoint.session import scratch_path
 
 SHARDS = 40
 TARGET_ENTROPY, MAX_REPEATS = 0.9, 2.0
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def _own_names(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """The stage with the input's further columns out of its way: they may bear any name, also one that
+    the stage makes itself, and come back as they were."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        plain = [c if c in COLUMNS else f"_further{i}" for i, c in enumerate(docs.columns)]
+        return stage(spark, docs.toDF(*plain), sf_dir).select(*plain).toDF(*docs.columns)
+
+    return run
+
+
+@_own_names
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, learned from all labels, does not reject."""
     model = learn_toxicity(docs, read(spark, sf_dir, "labels"))
@@ -30,22 +45,25 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.where("predicted = 0").select(docs.columns)
 
 
+@_own_names
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least id of each component; of rows that share an id, one. Rows without an
-    id are linked with nothing and stay."""
+    """The document of least id of each component; of rows that share id and text, one; different texts
+    of one id stay. Rows without an id are linked with nothing and stay."""
     parts = jaccard_components(docs)
     copies = parts.where("doc_id <> component_id").select("doc_id").distinct().checkpoint()
     release_shuffles(spark)
-    named = docs.where("doc_id is not null").join(copies, "doc_id", "left_anti").dropDuplicates(["doc_id"])
+    named = docs.where("doc_id is not null").join(copies, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"])
     return named.select(docs.columns).unionByName(docs.where("doc_id is null"))
 
 
+@_own_names
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark item in them."""
     marked = mark_leaks(docs, read(spark, sf_dir, "benchmark"))
     return marked.where(F.size("leaks") == 0).select(docs.columns)
 
 
+@_own_names
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, those of small sources up to twice, towards a flatter mixture of sources."""
     mixed = mix_sources(docs, target_entropy=TARGET_ENTROPY, max_repeats=MAX_REPEATS)
