@@ -1,12 +1,14 @@
 """Command line: ingest CSV files, list analyses, run analyses on stored tables.
 
+    python -m tillpoint load CSV_DIR TABLE_DIR
     python -m tillpoint ingest CSV_DIR TABLE_DIR
     python -m tillpoint list
     python -m tillpoint run KEY [KEY ...] --tables TABLE_DIR --out OUT_DIR [--format parquet|csv]
     python -m tillpoint run all --tables TABLE_DIR --out OUT_DIR [--as-of YYYY-MM-DD]
     python -m tillpoint ingest-stream TABLE LANDING_DIR TABLE_DIR
 
-``run`` reads the Parquet tables written by ``ingest`` and writes each key's result
+``load`` checks values, keys and references, stores what is valid and prints the rows by outcome;
+``ingest`` appends without checks. ``run`` reads the tables written by either and writes each key's result
 under OUT_DIR/KEY; ``--as-of`` is the analysis date of the recency and churn keys
 (default: today). ``ingest-stream`` appends the CSV files newly landed in
 LANDING_DIR to one table and stops (Structured Streaming, availableNow). The session comes from the launcher (spark-submit settings win);
@@ -38,6 +40,9 @@ def main(argv: list[str] | None = None) -> int:
     ing = sub.add_parser("ingest", help="load <name>.csv files into typed Parquet tables")
     ing.add_argument("csv_dir")
     ing.add_argument("table_dir")
+    checked = sub.add_parser("load", help="load <name>.csv files, refusing bad values, repeated keys and orphans")
+    checked.add_argument("csv_dir")
+    checked.add_argument("table_dir")
     sub.add_parser("list", help="list analysis keys")
     run = sub.add_parser("run", help="run analyses on stored tables")
     run.add_argument("keys", nargs="+")
@@ -57,6 +62,13 @@ def main(argv: list[str] | None = None) -> int:
         print("\n".join(REGISTRY))
         return 0
     spark = _session()
+    if args.cmd == "load":
+        from tillpoint.sources.keyed_load import load_batch, load_report
+
+        load_batch(spark, args.csv_dir, args.table_dir)
+        for row in load_report(spark, args.table_dir).orderBy("load_number", "table_name", "outcome").collect():
+            print(*row, sep="\t")
+        return 0
     if args.cmd == "ingest":
         from tillpoint.plans.prep import ingest
 
