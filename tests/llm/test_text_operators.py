@@ -330,6 +330,63 @@ def test_mixture_weights_repeats_and_budget(spark):
     assert mixing.mix_sources(frame(spark, []), max_repeats=2.0).count() == 0
 
 
+def test_budget_ends_among_equal_rows(spark):
+    text = "a b c d e f g h i j"
+    rows = [(1, text, "en", "s")] * 500 + [(10 + k, sentences(random.Random(k), 10), "en", "s") for k in range(500)]
+    for budget in (5000, 7500, 9990, 10000, 12345):
+        got = mixing.mix_sources(frame(spark, rows), budget=budget).collect()
+        assert budget - 10 < sum(r["n_tokens"] for r in got) <= budget
+        shown = {}
+        for r in got:
+            shown[r["doc_id"]] = shown.get(r["doc_id"], 0) + 1
+        least = budget // 10000  # whole permutations, then at most one more of every row
+        assert all(least * (500 if i == 1 else 1) <= n <= (least + 1) * (500 if i == 1 else 1) for i, n in shown.items())
+    apart = frame(spark, rows).withColumn("further", F.monotonically_increasing_id())  # equal ids and texts, different rows
+    got = mixing.mix_sources(apart, budget=5000).collect()
+    assert len({r["further"] for r in got}) == len(got) == 500
+
+
+def brute_mixture(rows, exponent_grid, max_repeats):
+    """Repeats of each source at the least exponent of a fine grid that keeps to ``max_repeats``."""
+    tokens = {}
+    for _, text, _, source in rows:
+        tokens[source] = tokens.get(source, 0) + len((text or "").split())
+    for k in range(exponent_grid + 1):
+        raised = {s: n ** (k / exponent_grid) for s, n in tokens.items() if n}
+        weight = {s: x / sum(raised.values()) for s, x in raised.items()}
+        budget = max(tokens[s] / w for s, w in weight.items())
+        repeats = {s: budget * w / tokens[s] for s, w in weight.items()}
+        if max(repeats.values()) <= max_repeats:
+            return tokens, repeats
+    return tokens, dict.fromkeys(tokens, 1.0)
+
+
+@pytest.mark.parametrize("most", [20_000, 3])
+def test_mixture_equals_brute_force(spark, most):
+    rng = random.Random(5)
+    rows = [(k, sentences(rng, rng.randrange(1, 30)), "en", f"s{min(int(rng.expovariate(0.4)), 9)}") for k in range(1500)]
+    rows += [(9000, None, None, "void"), (9001, "x y z", None, None)]
+    tokens, repeats = brute_mixture(rows, 20_000, 2.0)
+    got = mixing.mix_sources(frame(spark, rows), max_repeats=2.0, broadcast_sources=most).collect()
+    shown, ids = {}, {}
+    for r in got:
+        shown[r["source"]] = shown.get(r["source"], 0) + r["n_tokens"]
+        ids.setdefault(r["doc_id"], []).append(r["epoch"])
+    assert set(ids) == {r[0] for r in rows} and all(sorted(e) == list(range(len(e))) for e in ids.values())
+    for source, n in tokens.items():
+        want = repeats.get(source, 1.0) * n
+        assert want - 31 - n / 1000 <= shown[source] <= want + 1 + n / 1000, source
+
+
+def test_more_sources_than_are_broadcast(spark):
+    rows = [(k, "one two three" if k % 7 else "one", "en", f"host{k % 3000}") for k in range(6000)]
+    few = mixing.mix_sources(frame(spark, rows), target_entropy=0.9999, max_repeats=2.0)
+    many = mixing.mix_sources(frame(spark, rows), target_entropy=0.9999, max_repeats=2.0, broadcast_sources=100)
+    key = lambda r: (r["doc_id"], r["epoch"])
+    for a, b in zip(sorted(few.collect(), key=key), sorted(many.collect(), key=key), strict=True):
+        assert key(a) == key(b) and math.isclose(a["weight"], b["weight"], rel_tol=1e-9) and math.isclose(a["mix_pos"], b["mix_pos"], rel_tol=1e-9)
+
+
 def brute_edits(item, text):
     row = [0] * (len(text) + 1)
     for c in item:
@@ -400,3 +457,14 @@ def test_prefix_token_counts_are_exact(spark):
     df = token_counts.prefix_token_counts(frame(spark, [(1, "one two three", None, None), (2, None, None, None)]))
     asked = df.select("doc_id", token_counts.tokens_at("prefix_tokens", 7).alias("n"), token_counts.bytes_within("prefix_tokens", 2).alias("b"))
     assert sorted(tuple(r) for r in asked.collect()) == [(1, 2, 7), (2, 0, 0)]
+    text = "中文é a😀"  # characters of one to four bytes are never cut
+    df = token_counts.prefix_token_counts(frame(spark, [(1, text, None, None)])).checkpoint()
+    ends = {0: 0}
+    for k in range(len(text)):
+        ends[len(text[: k + 1].encode())] = len(library.encode(text[: k + 1], add_special_tokens=False).ids)
+    for budget in range(12):
+        want = max(size for size, n in ends.items() if n <= budget)
+        assert df.select(token_counts.bytes_within("prefix_tokens", budget)).first()[0] == want, budget
+    for size in range(len(text.encode()) + 2):
+        want = ends[max(e for e in ends if e <= size)]
+        assert df.select(token_counts.tokens_at("prefix_tokens", size)).first()[0] == want, size

@@ -8,48 +8,49 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-#: Different sources that a plan may hold; more is an error, since the plan goes to every task.
+from tillpoint.llm.tables import settled
+
+#: Sources up to which the plan goes to every task and its sums are taken on the driver; beyond it the
+#: sums are aggregates and the plan meets the rows in a shuffled join.
 MOST_SOURCES = 20_000
 #: Parts of a permuted source whose token totals are compared with the budget.
 PARTS = 4_096
+#: Equal rows that one task repeats where the budget ends among them.
+COPIES = 10_000
 SEED = 17
-
-
-def weights_at(tokens: list[int], exponent: float) -> list[float]:
-    """Normalised shares to the power ``exponent`` (a source without tokens has no weight)."""
-    logs = [exponent * math.log(n) if n > 0 else -math.inf for n in tokens]
-    top = max(logs, default=0.0)
-    raised = [math.exp(x - top) if x > -math.inf else 0.0 for x in logs]
-    total = sum(raised)
-    return [x / total if total else 0.0 for x in raised]
+#: Exponents tried at once by the bisection, and its rounds: 16 ** 13 steps in [0, 1].
+POINTS, ROUNDS = 15, 13
 
 
 def entropy(weights: list[float]) -> float:
     return -sum(w * math.log(w) for w in weights if w > 0)
 
 
-def budget_at(tokens: list[int], weights: list[float], budget: int | None) -> float:
-    """The given budget, or the least that shows every text of every source once."""
-    return float(budget) if budget else max((n / w for n, w in zip(tokens, weights, strict=True) if w > 0), default=0.0)
-
-
-def repeats_at(tokens: list[int], weights: list[float], budget: int | None) -> list[float]:
-    total = budget_at(tokens, weights, budget)
-    return [total * w / n if n > 0 else 1.0 for n, w in zip(tokens, weights, strict=True)]
-
-
-def bisect_exponent(good: Callable[[float], bool], rounds: int = 60) -> float:
+def bisect_exponent(good: Callable[[list[float]], list[bool]]) -> float:
     """The least exponent in [0, 1] that is good, if goodness only grows with it (1 if none is)."""
-    if good(0.0):
-        return 0.0
     low, high = 0.0, 1.0
-    for _ in range(rounds):
-        middle = (low + high) / 2
-        low, high = (low, middle) if good(middle) else (middle, high)
+    if good([0.0])[0]:
+        return 0.0
+    for _ in range(ROUNDS):
+        tried = [low + (high - low) * k / (POINTS + 1) for k in range(1, POINTS + 1)]
+        bad = sum(not g for g in good(tried))
+        low, high = [low, *tried][bad], [*tried, high][bad]
     return high
 
 
+@dataclass
+class Totals:
+    """What a plan must know of the sources that have tokens: how many, the least and the most tokens,
+    and for exponents the sums of r and r * log(r), where r is (tokens / most) to the exponent."""
+
+    sources: int
+    least: int
+    most: int
+    sums: Callable[[list[float]], list[tuple[float, float]]]
+
+
 @dataclass
 class SourcePlan:
     source: str | None
@@ -57,46 +58,130 @@ class SourcePlan:
     weight: float
     repeats: float
 
-    @property
-    def whole(self) -> int:
-        """Whole permutations; a remainder within rounding of one counts as whole."""
-        return int(math.floor(self.repeats + 1e-9))
 
-    @property
-    def rest(self) -> int:
-        return round((self.repeats - self.whole) * self.tokens) if self.repeats - self.whole > 1e-9 else 0
+@dataclass
+class Mixture:
+    """Weights and repeats as functions of a source's tokens."""
+
+    exponent: float
+    most: int
+    norm: float
+    budget: float
+
+    def weight(self, tokens: int) -> float:
+        return math.exp(self.exponent * math.log(tokens / self.most)) / self.norm if tokens > 0 else 0.0
+
+    def of(self, source: str | None, tokens: int) -> SourcePlan:
+        weight = self.weight(tokens)
+        return SourcePlan(source, tokens, weight, self.budget * weight / tokens if tokens > 0 else 1.0)
+
+    def planned(self, totals: DataFrame) -> DataFrame:
+        """The plan of every source: its weight, its repeats, whole permutations (a remainder within
+        rounding of one counts as whole) and the tokens of the last, cut one."""
+        some = F.col("_total") > 0
+        ratio = F.col("_total") / F.lit(float(max(self.most, 1)))
+        weight = F.when(some, F.exp(F.lit(self.exponent) * F.log(ratio)) / F.lit(self.norm)).otherwise(0.0)
+        repeats = F.when(some, F.lit(self.budget) * F.col("weight") / F.col("_total")).otherwise(1.0)
+        over = F.col("_repeats") - F.col("_whole")
+        return (
+            totals.withColumn("weight", weight)
+            .withColumn("_repeats", repeats)
+            .withColumn("_whole", F.floor(F.col("_repeats") + 1e-9))
+            .withColumn("_rest", F.when(over > 1e-9, F.round(over * F.col("_total"))).otherwise(0).cast("long"))
+        )
 
 
-def plan_mixture(
-    totals: list[tuple[str | None, int]],
+def find_mixture(
+    totals: Totals,
     target_entropy: float | None = None,
     max_repeats: float | None = None,
     budget: int | None = None,
-) -> list[SourcePlan]:
-    """Weights and repeats of the sources in ``totals``.
-
-    The exponent is the greatest at which the mixture's entropy reaches ``target_entropy`` (a share
+) -> Mixture:
+    """The exponent is the greatest at which the mixture's entropy reaches ``target_entropy`` (a share
     of the entropy of equal weights; natural shares if they reach it), or the least at which no
     source is shown more than ``max_repeats`` times, whichever is nearer to natural shares. With
-    neither, shares stay natural.
+    neither, shares stay natural. Without a ``budget`` it is the least that shows every text once.
+
+    For exponents up to 1 the largest source needs the most tokens to be shown once and the smallest
+    is repeated most, so sums over the sources and these two decide.
     """
-    tokens = [n for _, n in totals]
+    if totals.sources == 0:
+        return Mixture(1.0, 0, 1.0, float(budget or 0))
+
+    def tokens_shown(norm: float) -> float:
+        return float(budget) if budget else totals.most * norm
+
+    def even(exponents: list[float]) -> list[bool]:
+        goal = target_entropy * math.log(totals.sources)
+        return [math.log(z) - e / z >= goal for z, e in totals.sums([1.0 - x for x in exponents])]
+
+    def rare(exponents: list[float]) -> list[bool]:
+        small = [math.exp(a * math.log(totals.least / totals.most)) / totals.least for a in exponents]
+        return [tokens_shown(z) * s / z <= max_repeats for s, (z, _) in zip(small, totals.sums(exponents), strict=True)]
+
     exponent = 1.0
     if target_entropy is not None:
-        most = math.log(max(sum(n > 0 for n in tokens), 1))
-        exponent = 1.0 - bisect_exponent(lambda x: entropy(weights_at(tokens, 1.0 - x)) >= target_entropy * most)
+        exponent = 1.0 - bisect_exponent(even)
     if max_repeats is not None:
-        limit = bisect_exponent(lambda a: max(repeats_at(tokens, weights_at(tokens, a), budget), default=0) <= max_repeats)
+        limit = bisect_exponent(rare)
         exponent = max(exponent, limit) if target_entropy is not None else limit
-    weights = weights_at(tokens, exponent)
-    repeats = repeats_at(tokens, weights, budget)
-    return [SourcePlan(s, n, w, r) for (s, n), w, r in zip(totals, weights, repeats, strict=True)]
+    norm = totals.sums([exponent])[0][0]
+    return Mixture(exponent, totals.most, norm, tokens_shown(norm))
+
+
+def listed_totals(tokens: list[int]) -> Totals:
+    """Totals of sources that the driver holds."""
+    some = sorted(n for n in tokens if n > 0)
+    most = max(some, default=0)
+    logs = [math.log(n / most) for n in some]
+
+    def sums(exponents: list[float]) -> list[tuple[float, float]]:
+        found = []
+        for a in exponents:
+            raised = [math.exp(a * x) for x in logs]
+            found.append((math.fsum(raised), math.fsum(r * a * x for r, x in zip(raised, logs, strict=True))))
+        return found
+
+    return Totals(len(some), min(some, default=0), most, sums)
+
+
+def gathered_totals(totals: DataFrame) -> Totals:
+    """Totals of any number of sources (column ``_total``); only sums reach the driver."""
+    some = totals.where("_total > 0")
+    row = some.agg(F.count(F.lit(1)).alias("n"), F.min("_total").alias("a"), F.max("_total").alias("b")).first()
+
+    def sums(exponents: list[float]) -> list[tuple[float, float]]:
+        x = F.log(F.col("_total") / F.lit(float(row["b"])))
+        pairs = [(F.sum(F.exp(F.lit(a) * x)), F.sum(F.exp(F.lit(a) * x) * F.lit(a) * x)) for a in exponents]
+        found = some.agg(*[c.alias(f"s{i}") for i, c in enumerate(c for pair in pairs for c in pair)]).first()
+        return [(found[2 * i], found[2 * i + 1]) for i in range(len(exponents))]
+
+    return Totals(row["n"], row["a"] or 0, row["b"] or 0, sums)
+
+
+def plan_mixture(
+    totals: list[tuple[str | None, int]],
+    target_entropy: float | None = None,
+    max_repeats: float | None = None,
+    budget: int | None = None,
+) -> list[SourcePlan]:
+    """Weights and repeats of the sources in ``totals``, by :func:`find_mixture`."""
+    mixture = find_mixture(listed_totals([n for _, n in totals]), target_entropy, max_repeats, budget)
+    return [mixture.of(s, n) for s, n in totals]
 
 
 def words(text_col: str = "text") -> Column:
     return F.coalesce(F.regexp_count(F.col(text_col), F.lit(r"\S+")), F.lit(0)).cast("long")
 
 
+def _hashable(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return all(_hashable(f.dataType) for f in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return _hashable(kind.elementType)
+    return not isinstance(kind, (T.MapType, T.VariantType))
+
+
 def mix_sources(
     df: DataFrame,
     source_col: str = "source",
@@ -107,6 +192,7 @@ def mix_sources(
     max_repeats: float | None = None,
     budget: int | None = None,
     seed: int = SEED,
+    broadcast_sources: int = MOST_SOURCES,
 ) -> DataFrame:
     """The rows of ``df``, repeated to the planned mixture, with ``epoch``, ``n_tokens``, ``weight``
     and ``mix_pos``.
@@ -116,78 +202,77 @@ def mix_sources(
     blocks; sorted by it, all sources advance together at their weights. Without a ``budget`` the
     largest source is shown once and no text is left out.
 
-    Only token totals of sources, and of ``PARTS`` hash ranges of each, are shuffled; a text joins
-    the (small, checked) plan where it lies. The cut is exact: the texts of the range in which the
-    budget ends are counted one by one, and the last is the one that still fits. Null sources are
-    one source; texts without tokens are shown as often as their source is wholly repeated, once at
-    least; null ids and equal rows are ordinary rows (equal rows share one place in a permutation);
-    an empty table gives no rows;
-    input columns with the names of the new ones are replaced.
+    Tokens are counted into a written table of one narrow row each; only totals of sources, of
+    ``PARTS`` hash ranges of each, and of the places in the range where the budget ends are shuffled.
+    A text joins the plan where it lies, unless there are more than ``broadcast_sources`` sources.
+    The cut is exact: it lies before the first text that does not fit. Equal rows share one place in a
+    permutation; where the budget ends among them, as many of them are shown as fit. Rows that differ in
+    any column (maps aside) have places of their own. Null sources are one source; texts without tokens
+    are shown as often as their source is wholly repeated, once at least; null ids are ordinary; an empty
+    table gives no rows; input columns with the names of the new ones are replaced.
     """
-    spark = df.sparkSession
-    columns = [F.col(f"`{c}`") for c in df.columns if c not in ("epoch", "n_tokens", "weight", "mix_pos")]
+    kept = [f for f in df.schema.fields if f.name not in ("epoch", "n_tokens", "weight", "mix_pos")]
+    further = [F.col(f"`{f.name}`") for f in kept if f.name not in (id_col, text_col) and _hashable(f.dataType)]
     base = df.select(
-        F.struct(*columns).alias("_row"),
-        F.col(source_col).alias("_source"),
-        F.xxhash64(F.col(id_col), F.col(text_col)).alias("_key"),
+        F.struct(*[F.col(f"`{f.name}`") for f in kept]).alias("_row"),
+        F.col(f"`{source_col}`").cast("string").alias("_source"),
+        F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"), *further).alias("_key"),
         (tokens if tokens is not None else words(text_col)).alias("n_tokens"),
     )
-    narrow = base.drop("_row")
-    found = narrow.groupBy("_source").agg(F.sum("n_tokens").alias("n")).limit(MOST_SOURCES + 1).collect()
-    if len(found) > MOST_SOURCES:
-        raise ValueError(f"more than {MOST_SOURCES} values in {source_col}")
-    totals = sorted(((r["_source"], r["n"]) for r in found), key=lambda t: (t[0] is not None, t[0] or ""))
-    plan = plan_mixture(totals, target_entropy, max_repeats, budget)
+    narrow = settled(base.drop("_row"), "mixing-sizes")
+    totals = settled(narrow.groupBy(F.col("_source").alias("_s")).agg(F.sum("n_tokens").alias("_total")), "mixing-totals")
+    found = totals.select("_total").limit(broadcast_sources + 1).collect()
+    few = len(found) <= broadcast_sources
+    known = listed_totals([r["_total"] for r in found]) if few else gathered_totals(totals)
+    plan = find_mixture(known, target_entropy, max_repeats, budget).planned(totals)
 
     def place(epoch: Column) -> Column:
         return F.xxhash64(F.lit(seed), epoch, F.col("_key"))
 
-    planned = spark.createDataFrame(
-        [(p.source, p.whole, p.rest, p.weight, max(p.repeats, 1e-300)) for p in plan],
-        "_s string, _whole long, _rest long, weight double, _repeats double",
-    )
-
-    def joined(rows: DataFrame, small: DataFrame) -> DataFrame:
-        return rows.join(F.broadcast(small), F.col("_source").cast("string").eqNullSafe(F.col("_s")))
+    def joined(rows: DataFrame, by_source: DataFrame) -> DataFrame:
+        return rows.join(F.broadcast(by_source) if few else by_source, F.col("_source").eqNullSafe(F.col("_s")))
 
-    partial = joined(narrow, planned.where("_rest > 0")).withColumn("_place", place(F.col("_whole")))
+    partial = joined(narrow, plan.where("_rest > 0")).withColumn("_place", place(F.col("_whole")))
     part = F.shiftrightunsigned("_place", 64 - PARTS.bit_length() + 1)
-    signed_part = F.when(part >= PARTS // 2, part - PARTS).otherwise(part)
-    by_part = partial.groupBy("_s", "_rest", signed_part.alias("_part")).agg(F.sum("n_tokens").alias("n"))
+    partial = partial.withColumn("_part", F.when(part >= PARTS // 2, part - PARTS).otherwise(part))
     in_order = Window.partitionBy("_s").orderBy("_part").rowsBetween(Window.unboundedPreceding, 0)
     ends = (
-        by_part.withColumn("_upto", F.sum("n").over(in_order))
+        partial.groupBy("_s", "_rest", "_part")
+        .agg(F.sum("n_tokens").alias("n"))
+        .withColumn("_upto", F.sum("n").over(in_order))
         .where("_upto > _rest")
         .groupBy(F.col("_s").alias("_es"))
-        .agg(F.min(F.struct("_part", (F.col("_upto") - F.col("n")).alias("_before"))).alias("_end"))
-    )
-    last_part = partial.withColumn("_part", signed_part).join(
-        F.broadcast(ends), F.col("_s").eqNullSafe(F.col("_es")) & (F.col("_part") == F.col("_end._part"))
+        .agg(F.min(F.struct("_part", (F.col("_upto") - F.col("n")).alias("before"))).alias("_end"))
     )
-    one_by_one = Window.partitionBy("_s").orderBy("_place")
+    at_end = F.col("_s").eqNullSafe(F.col("_es")) & (F.col("_part") == F.col("_end._part"))
+    by_place = Window.partitionBy("_s").orderBy("_place").rowsBetween(Window.unboundedPreceding, 0)
     cuts = (
-        last_part.withColumn("_upto", F.col("_end._before") + F.sum("n_tokens").over(one_by_one))
-        .groupBy("_s")
-        .agg(
-            F.max(F.when(F.col("_upto") <= F.col("_rest"), F.col("_place"))).alias("_fits"),
-            F.min(F.struct("_place")).alias("_first"),
-        )
-        .select("_s", F.coalesce(F.col("_fits"), F.col("_first._place") - 1).alias("_cut"))
-        .collect()
-    )
-    cut_of = {r["_s"]: r["_cut"] for r in cuts}
-    whole = spark.createDataFrame(
-        [
-            (None if p.source is None else str(p.source), p.whole, cut_of.get(p.source, 2**63 - 1) if p.rest else None, p.weight, max(p.repeats, 1e-300), p.tokens)
-            for p in plan
-        ],
-        "_s string, _whole long, _cut long, weight double, _repeats double, _total long",
+        partial.join(F.broadcast(ends) if few else ends, at_end)
+        .groupBy("_s", "_rest", "_place")
+        .agg(F.sum("n_tokens").alias("n"), F.count(F.lit(1)).alias("rows"), F.first("_end.before").alias("_before"))
+        .withColumn("_upto", F.col("_before") + F.sum("n").over(by_place))
+        .where("_upto > _rest")
+        .withColumn("_fit", F.expr("(_rest - _upto + n) * rows div n"))
+        .groupBy(F.col("_s").alias("_cs"))
+        .agg(F.min(F.struct("_place", "_fit")).alias("_cut"))
     )
+    ends_at = settled(cuts.select("_cs", F.col("_cut._place").alias("_cut"), F.col("_cut._fit").alias("_fit")), "mixing-cuts")
+    whole = plan.join(F.broadcast(ends_at) if few else ends_at, F.col("_s").eqNullSafe(F.col("_cs")), "left")
+
     shown = joined(base, whole)
-    takes = (F.col("_cut").isNotNull() & (place(F.col("_whole")) <= F.col("_cut"))).cast("long")
+    last = place(F.col("_whole"))
+    takes = ((F.col("_rest") > 0) & (F.col("_cut").isNull() | (last < F.col("_cut")))).cast("long")
     times = F.when(F.col("_total") == 0, F.lit(1)).otherwise(F.col("_whole") + takes)
     epochs = F.when(times > 0, F.sequence(F.lit(0).cast("long"), times - 1))
-    spread = shown.withColumn("epoch", F.explode(epochs))
+    needed = ["_row", "_key", "n_tokens", "weight", "_repeats"]
+    spread = shown.select(*needed, F.explode(epochs).alias("epoch"))
+    if ends_at.where("_fit > 0").limit(1).count():  # the budget ends among equal rows: one of them stands for those that fit
+        equal = joined(base, whole.where("_fit > 0")).where(last == F.col("_cut"))
+        one = equal.groupBy("_s").agg(*[F.first(c).alias(c) for c in [*needed, "_fit", "_whole"]])
+        pieces = one.withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("long"), F.expr("(_fit - 1) div " + str(COPIES)))))
+        size = F.least(F.col("_fit") - F.col("_piece") * COPIES, F.lit(COPIES))
+        copies = pieces.repartition("_s", "_piece").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), size)))
+        spread = spread.unionByName(copies.select(*needed, F.col("_whole").alias("epoch")))
     at = place(F.col("epoch")).cast("double") / F.lit(2.0**64) + 0.5
     mix_pos = F.least((F.col("epoch") + at) / F.greatest(F.col("_repeats"), F.lit(1e-12)), F.lit(1.0 - 2.0**-53))
     return spread.select(

@@ -203,14 +203,24 @@ def prefix_counter(vocabulary: str | None) -> PrefixCounter:
     return PrefixCounter(vocabulary)
 
 
+def whole_characters(counts: np.ndarray, text: str) -> np.ndarray:
+    """``counts`` by byte, with -1 at the bytes that do not end a character."""
+    if text.isascii():
+        return counts
+    following = np.frombuffer(text.encode(), dtype=np.uint8)[1:]
+    out = counts.astype(np.int32)
+    out[:-1][(following & 0xC0) == 0x80] = -1
+    return out
+
+
 def prefix_token_counts(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None
 ) -> DataFrame:
     """Exact token counts at every byte prefix of every text.
 
     Returns ``id_col``, ``n_bytes``, ``n_tokens`` and ``prefix_tokens`` (array<int>, one count for
-    each byte; ``prefix_tokens[i]`` is the number of tokens of the text's first ``i + 1`` bytes,
-    where these end a character). ``tokens_at`` and ``bytes_within`` answer questions about
+    each byte; ``prefix_tokens[i]`` is the number of tokens of the text's first ``i + 1`` bytes, -1 where
+    these end inside a character). ``tokens_at`` and ``bytes_within`` answer questions about
     truncation and budgets from the stored array without encoding anything again.
 
     Null and empty texts have 0 bytes, 0 tokens and an empty array; a null id is passed on, repeated
@@ -240,7 +250,8 @@ def prefix_token_counts(
             ids, texts = batch.column(0), batch.column(1)
             id_type, held, counts, size = ids.type, [], [], 0
             for key, text in zip(ids.to_pylist(), texts, strict=True):
-                counts.append(counter.prefixes(text.as_py() or ""))
+                whole = text.as_py() or ""
+                counts.append(whole_characters(counter.prefixes(whole), whole))
                 held.append(key)
                 size += len(counts[-1])
                 if size >= BATCH_BYTES:
@@ -255,16 +266,17 @@ def prefix_token_counts(
 
 
 def tokens_at(prefix_tokens: Column | str, n_bytes: Column | int) -> Column:
-    """Tokens of the first ``n_bytes`` bytes (0 bytes: none; beyond the end: all)."""
+    """Tokens of the whole characters among the first ``n_bytes`` bytes (0 bytes: none; beyond the end: all)."""
     array = F.col(prefix_tokens) if isinstance(prefix_tokens, str) else prefix_tokens
     at = F.least(n_bytes if isinstance(n_bytes, Column) else F.lit(n_bytes), F.size(array))
-    return F.when(at <= 0, F.lit(0)).otherwise(F.get(array, at - 1))
+    ends = [F.when(at > k, F.nullif(F.get(array, at - 1 - k), F.lit(-1))) for k in range(4)]  # a character has up to 4 bytes
+    return F.when(array.isNotNull(), F.coalesce(*ends, F.lit(0)))
 
 
 def bytes_within(prefix_tokens: Column | str, budget: int) -> Column:
-    """The longest prefix, in bytes, of at most ``budget`` tokens."""
+    """The longest prefix of whole characters, in bytes, of at most ``budget`` tokens."""
     array = F.col(prefix_tokens) if isinstance(prefix_tokens, str) else prefix_tokens
-    fits = F.filter(F.sequence(F.lit(1), F.size(array)), lambda i: F.get(array, i - 1) <= budget)
+    fits = F.filter(F.sequence(F.lit(1), F.size(array)), lambda i: F.get(array, i - 1).between(0, budget))
     return F.when(F.size(array) == 0, F.lit(0)).otherwise(F.coalesce(F.array_max(fits), F.lit(0)))
 
 
