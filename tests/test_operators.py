@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tillpoint.operators.baskets import pair_counts
+from tillpoint.operators.baskets import holdings, item_counts, pair_bound, pair_counts, top_pairs, useful_items
 from tillpoint.operators.ranking import with_ntile, with_rank, with_row_number
 
 
@@ -62,6 +62,37 @@ def test_pair_counts_match_brute_force(spark, min_freq, block):
     assert got == _brute_pairs(lines, min_freq)
 
 
+@pytest.mark.parametrize("k,min_freq,block,heads", [(20, 1, 1000, 256), (20, 3, 4, 8), (5, 2, 1, 3), (50, 4, 1000, 2), (3, 1, 2, 1)])
+def test_top_pairs_match_brute_force(spark, k, min_freq, block, heads):
+    rnd = random.Random(k)
+    lines = [(b, min(int(rnd.expovariate(0.15)), 60)) for b in range(250) for _ in range(rnd.randint(1, 6))]
+    lines += [(1000, i) for i in range(50)] + [(1000, 3), (None, 1), (5, None)]
+    df = spark.createDataFrame(lines, "order_id long, product_sku long")
+    got = [tuple(r) for r in top_pairs(df, k=k, min_freq=min_freq, block=block, heads=heads).collect()]
+    whole = [(b, i) for b, i in lines if b is not None and i is not None]
+    assert got == sorted(_brute_pairs(whole, min_freq), key=lambda p: (-p[2], p[0], p[1]))[:k]
+
+
+def test_rising_bound_forms_fewer_pairs(spark):
+    rnd = random.Random(11)
+    lines = [(b, i) for b in range(400) for i in rnd.sample(range(6), 4)]  # few items in most baskets
+    lines += [(b, 100 + rnd.randrange(300)) for b in range(400) for _ in range(8)]  # many items of some baskets each
+    df = spark.createDataFrame(lines, "order_id long, product_sku long")
+    held = holdings(df, "order_id", "product_sku")
+    bound = pair_bound(held, k=10, min_freq=2, heads=32).first()["bound"]
+    exact = sorted((n for *_, n in _brute_pairs(lines, 2)), reverse=True)[9]
+    assert 100 < bound <= exact
+    useful = {r["_i"] for r in useful_items(held, 10, 2, heads=32).collect()}
+    by_least = {r["_i"] for r in item_counts(held).where("_n >= 2").collect()}
+    formed = lambda items: sum(n for *_, n in _brute_pairs([x for x in lines if x[1] in items], 1))
+    assert useful == set(range(6)) and formed(useful) * 10 < formed(by_least)
+
+
+def test_top_pairs_of_nothing(spark):
+    df = spark.createDataFrame([], "order_id long, product_sku string")
+    assert top_pairs(df, k=3).count() == 0
+
+
 def test_covered_intervals_flag_equals_exists(spark):
     import datetime as dt
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillpoint.functions.measures import dated, exact_stddev_samp, exact_var_samp, month_start
-from tillpoint.operators.baskets import pair_counts
+from tillpoint.operators.baskets import top_pairs
 from tillpoint.tables import Tables
 
 DateLike = str | dt.date
@@ -58,8 +58,7 @@ def quantity_outliers(t: Tables, k: float = 2.0) -> DataFrame:
 def bought_together(t: Tables, min_freq: int = 10, k: int = 20, block: int = 1000) -> DataFrame:
     """q47: SKU pairs bought in the same order, counted in distinct orders,
     pairs seen in at least ``min_freq`` orders, top ``k``."""
-    pairs = pair_counts(t["fact_orders"], "order_id", "product_sku", min_freq=min_freq, block=block)
-    return pairs.orderBy(F.col("freq").desc(), F.col("item1").asc(), F.col("item2").asc()).limit(k)
+    return top_pairs(t["fact_orders"], "order_id", "product_sku", k=k, min_freq=min_freq, block=block)
 
 
 def product_lifecycle(t: Tables, min_orders: int = 2) -> DataFrame:
