@@ -30,9 +30,10 @@ def monthly_return_rate(t: Tables, fixed: bool = False) -> DataFrame:
     multiplied as the join multiplies them). Fixed: all orders, each return counted once.
     """
     days = t["dim_date"].select(F.col("date").alias("order_date"), "year", "month")
-    fo = t["fact_orders"].select("order_id", "order_date", "order_quantity").join(days, "order_date")
+    rows = t["fact_orders"].select("order_id", "order_date", "order_quantity")
     r = _returns_per_order(t)
     if fixed:
+        fo = rows.join(days, "order_date")
         # an order's returns count once, in the month of its first row
         first = fo.groupBy("order_id").agg(F.min(F.struct("order_date", "year", "month")).alias("_m"))
         ordered = fo.groupBy("year", "month").agg(F.sum("order_quantity").alias("_den"))
@@ -40,7 +41,7 @@ def monthly_return_rate(t: Tables, fixed: bool = False) -> DataFrame:
         return ordered.join(returned, ["year", "month"], "left").select(
             "year", "month", (as_double(F.coalesce(F.col("_num"), F.lit(0))) / F.col("_den")).alias("return_rate")
         )
-    j = fo.join(r, "order_id")
+    j = rows.join(r, "order_id").join(days, "order_date")  # by order first, as the rows may be stored
     num, den = F.sum("_r"), F.sum(F.col("order_quantity") * F.col("_nr"))
     out = j.groupBy("year", "month").agg(
         (as_double(num) / den).alias("return_rate")
