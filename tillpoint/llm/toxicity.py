@@ -44,6 +44,19 @@ LOOKALIKES = {
 AS_LETTER, AS_IT_IS, LEFT_OUT = math.log(0.5), math.log(0.002), math.log(0.3)
 
 
+_LETTER = r"[^\W\d_]"
+_LOOK = "[0-9@$!|+€£]"
+_END = "[@$|+€£]"  # look-alikes that seldom end a plain word, as ! and digits do
+#: Tokens with more than one reading: letters spread out by one or two separators; look-alikes between or
+#: before letters (or digits after them), or at the end; signs between letters; a letter three times
+#: in a row, or three letters doubled one after the other.
+SPREAD = re.compile(rf"(?<!\w)(?:{_LETTER}|{_LOOK})(?:([ ._*\-])\1?(?:{_LETTER}|{_LOOK})){{2,}}(?!\w)")
+MIXED = re.compile(
+    rf"(?:{_LOOK}|{_LETTER})*(?:{_LETTER}[*#_.\-]?{_LOOK}+{_LETTER}|{_LOOK}{_LETTER}|{_LETTER}[0-9]|{_LETTER}!*{_END}"
+    rf"|{_LETTER}[*#_]+{_LETTER}|({_LETTER})\1\1|(?:({_LETTER})\2){{3}})(?:{_LOOK}|{_LETTER}|[*#_](?={_LETTER}))*"
+)
+
+
 def _symbol_table() -> np.ndarray:
     table = np.zeros(0x110000, dtype=np.uint8)
     for c in range(0x110000):
@@ -89,15 +102,19 @@ class CharacterModel:
 
     @staticmethod
     def lattice(token: str) -> list[list[tuple[str, float]]]:
-        """For each place of ``token`` its readings, each with the channel's log probability."""
+        """For each place of ``token`` its readings, each with the channel's log probability: signs as the
+        letters they look like, separators left out, runs of a letter as one or two of it. Pairs are
+        runs only in a token that doubles most of its letters, so that plain double letters stay."""
+        runs = [len(m[0]) for m in re.finditer(rf"({_LETTER})\1*", token)]
+        shortest = 2 if len(runs) > 2 and 2 * sum(n > 1 for n in runs) > len(runs) else 3
         places, i = [], 0
         while i < len(token):
             c = token[i]
             run = i
             while run < len(token) and token[run] == c:
                 run += 1
-            if c.isalpha() and run - i >= 3:
-                places.append([(c, AS_LETTER), (c * 2, LEFT_OUT), (c * (run - i), AS_IT_IS)])
+            if c.isalpha() and run - i >= shortest:
+                places.append([(c, AS_LETTER), (c * 2, LEFT_OUT if run - i > 2 else AS_IT_IS), (c * (run - i), AS_IT_IS)])
                 i = run
                 continue
             if c in LOOKALIKES:
@@ -140,15 +157,6 @@ class CharacterModel:
         return out
 
 
-_LETTER = r"[^\W\d_]"
-_LOOK = "[0-9@$!|+€£]"
-#: Tokens with more than one reading: letters spread out by separators, look-alikes between or
-#: before letters (or digits after them), signs between letters, a letter three times in a row.
-SPREAD = re.compile(rf"(?<!\w)(?:{_LETTER}|{_LOOK})(?:([ ._*\-])(?:{_LETTER}|{_LOOK})){{2,}}(?!\w)")
-MIXED = re.compile(rf"(?:{_LOOK}|{_LETTER})*(?:{_LETTER}[*#_.\-]?{_LOOK}+{_LETTER}|{_LOOK}{_LETTER}|{_LETTER}[0-9]|{_LETTER}[*#_]+{_LETTER}|({_LETTER})\1\1)(?:{_LOOK}|{_LETTER}|[*#_](?={_LETTER}))*")
-TOKEN = re.compile(r"\S+")
-
-
 class Restorer:
     """Finds suspicious tokens by array operations and replaces them by their decoded reading."""
 
@@ -165,7 +173,8 @@ class Restorer:
         if n < 3:
             return np.zeros(0, dtype=np.int64)
         odd = np.zeros(n, dtype=bool)
-        odd[1:] |= letter[:-1] & look[1:] & ~np.isin(code[1:], (42, 35, 36, 33, 43, 95, 64, 124, 0x20AC, 0xA3))
+        odd[1:] |= letter[:-1] & look[1:] & ~np.isin(code[1:], (42, 35, 33, 95))
+        odd[2:] |= letter[:-2] & (code[1:-1] == 33) & look[2:] & ~np.isin(code[2:], (42, 35, 33, 95))
         odd[:-1] |= look[:-1] & letter[1:]
         odd[2:] |= letter[2:] & (code[2:] == code[1:-1]) & (code[1:-1] == code[:-2])
         alone = letter | look
@@ -173,6 +182,11 @@ class Restorer:
         alone = alone & ~edge[:-2] & ~edge[2:]
         if n >= 5:
             odd[4:] |= alone[4:] & alone[2:-2] & alone[:-4]
+        if n >= 7:
+            odd[6:] |= alone[6:] & alone[3:-3] & alone[:-6]
+        pair = letter[1:] & (code[1:] == code[:-1])  # a place and the one after it
+        if n >= 6:
+            odd[5:] |= pair[4:] & pair[2:-2] & pair[:-4]
         return np.flatnonzero(odd)
 
     def __call__(self, text: str) -> str:
@@ -187,30 +201,36 @@ class Restorer:
                 continue
             begin, end = self.around(text, at, done)
             piece = text[begin:end]
-            piece = SPREAD.sub(self.joined, piece)
+            piece = SPREAD.sub(lambda m: self.model.decode(m[0]), piece)
             piece = MIXED.sub(lambda m: self.model.decode(m[0]), piece)
             parts += [text[done:begin], piece]
             done = end
         parts.append(text[done:])
         return "".join(parts)
 
-    def joined(self, found: re.Match) -> str:
-        return self.model.decode("".join(c for c in found[0][::2]))
-
     @staticmethod
     def around(text: str, at: int, done: int) -> tuple[int, int]:
-        """The tokens around a place, as far as single characters go on before and after."""
+        """The tokens around a place, as far as single characters go on before and after, one or two
+        blanks apart."""
         begin, end = at, at
         while begin > done and not text[begin - 1].isspace():
             begin -= 1
-        while begin > done + 1 and text[begin - 1] == " " and not text[begin - 2].isspace() and (begin - 3 < done or text[begin - 3].isspace()):
-            begin -= 2
+        while step := next((k for k in (1, 2) if Restorer.lone(text, begin - k - 1, done) and text[begin - k : begin] == " " * k), 0):
+            begin -= step + 1
         while end < len(text) and not text[end].isspace():
             end += 1
-        while end + 1 < len(text) and text[end] == " " and not text[end + 1].isspace() and (end + 2 == len(text) or text[end + 2].isspace()):
-            end += 2
+        while step := next((k for k in (1, 2) if Restorer.lone(text, end + k, done) and text[end : end + k] == " " * k), 0):
+            end += step + 1
         return begin, end
 
+    @staticmethod
+    def lone(text: str, at: int, done: int) -> bool:
+        """Whether a single character stands between blanks at a place not passed yet."""
+        return (
+            done <= at < len(text) and not text[at].isspace()
+            and (at == done or text[at - 1].isspace()) and (at + 1 == len(text) or text[at + 1].isspace())
+        )
+
 
 @dataclass
 class Features:
@@ -341,7 +361,8 @@ def learn_toxicity(
     """Character model of all ``documents``; classifier from at most ``rows`` rows of ``labels``.
 
     The rows are those of least id hash among labels 0 and 1 with an id; a document labelled twice
-    counts as toxic if any label says so. Labels without a document, and documents without text,
+    counts as toxic if any label says so, and of several texts of an id the one of least hash teaches, so
+    ``rows`` bounds the texts too. Labels without a document, and documents without text,
     teach nothing. Features are counted on the executors. Each training text's own summary is taken
     with itself left out of the counts, so that the last step sees what unseen texts will show.
     """
@@ -357,6 +378,8 @@ def learn_toxicity(
         documents.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
         .where("text is not null")
         .join(F.broadcast(sample), "_id")
+        .groupBy("_id", "_label")
+        .agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
     )
 
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
