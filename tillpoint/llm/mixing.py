@@ -206,8 +206,9 @@ def mix_sources(
     ``PARTS`` hash ranges of each, and of the places in the range where the budget ends are shuffled.
     A text joins the plan where it lies, unless there are more than ``broadcast_sources`` sources.
     The cut is exact: it lies before the first text that does not fit. Equal rows share one place in a
-    permutation; where the budget ends among them, as many of them are shown as fit. Rows that differ in
-    any column (maps aside) have places of their own. Null sources are one source; texts without tokens
+    permutation, given by id and text alone, so further columns of the input move no text; rows that share
+    both and differ in another column (maps aside) follow one another. Where the budget ends among equal
+    rows, as many of them are shown as fit. Null sources are one source; texts without tokens
     are shown as often as their source is wholly repeated, once at least; null ids are ordinary; an empty
     table gives no rows; input columns with the names of the new ones are replaced.
     """
@@ -216,7 +217,8 @@ def mix_sources(
     base = df.select(
         F.struct(*[F.col(f"`{f.name}`") for f in kept]).alias("_row"),
         F.col(f"`{source_col}`").cast("string").alias("_source"),
-        F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"), *further).alias("_key"),
+        F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).alias("_key"),
+        F.xxhash64(*further).alias("_tie"),
         (tokens if tokens is not None else words(text_col)).alias("n_tokens"),
     )
     narrow = settled(base.drop("_row"), "mixing-sizes")
@@ -245,22 +247,22 @@ def mix_sources(
         .agg(F.min(F.struct("_part", (F.col("_upto") - F.col("n")).alias("before"))).alias("_end"))
     )
     at_end = F.col("_s").eqNullSafe(F.col("_es")) & (F.col("_part") == F.col("_end._part"))
-    by_place = Window.partitionBy("_s").orderBy("_place").rowsBetween(Window.unboundedPreceding, 0)
+    by_place = Window.partitionBy("_s").orderBy("_place", "_tie").rowsBetween(Window.unboundedPreceding, 0)
     cuts = (
         partial.join(F.broadcast(ends) if few else ends, at_end)
-        .groupBy("_s", "_rest", "_place")
+        .groupBy("_s", "_rest", "_place", "_tie")
         .agg(F.sum("n_tokens").alias("n"), F.count(F.lit(1)).alias("rows"), F.first("_end.before").alias("_before"))
         .withColumn("_upto", F.col("_before") + F.sum("n").over(by_place))
         .where("_upto > _rest")
         .withColumn("_fit", F.expr("(_rest - _upto + n) * rows div n"))
         .groupBy(F.col("_s").alias("_cs"))
-        .agg(F.min(F.struct("_place", "_fit")).alias("_cut"))
+        .agg(F.min(F.struct("_place", "_tie", "_fit")).alias("_cut"))
     )
-    ends_at = settled(cuts.select("_cs", F.col("_cut._place").alias("_cut"), F.col("_cut._fit").alias("_fit")), "mixing-cuts")
+    ends_at = settled(cuts.select("_cs", F.struct("_cut._place", "_cut._tie").alias("_cut"), F.col("_cut._fit").alias("_fit")), "mixing-cuts")
     whole = plan.join(F.broadcast(ends_at) if few else ends_at, F.col("_s").eqNullSafe(F.col("_cs")), "left")
 
     shown = joined(base, whole)
-    last = place(F.col("_whole"))
+    last = F.struct(place(F.col("_whole")).alias("_place"), F.col("_tie"))
     takes = ((F.col("_rest") > 0) & (F.col("_cut").isNull() | (last < F.col("_cut")))).cast("long")
     times = F.when(F.col("_total") == 0, F.lit(1)).otherwise(F.col("_whole") + takes)
     epochs = F.when(times > 0, F.sequence(F.lit(0).cast("long"), times - 1))
