@@ -261,13 +261,21 @@ def test_near_vectors_against_all_cosines(spark):
     assert not got[None]["kept"] and got[None]["n_links"] == 0
 
 
-@pytest.mark.parametrize("written,meant", [("1d10t", "idiot"), ("s t u p i d", "stupid"), ("s.t.u.p.i.d", "stupid"), ("stuuuupid", "stupid"), ("tr4$h", "trash")])
+@pytest.mark.parametrize("written,meant", [("1d10t", "idiot"), ("s t u p i d", "stupid"), ("s.t.u.p.i.d", "stupid"), ("stuuuupid", "stupid"), ("tr4$h", "trash"), ("a$$", "ass"), ("sh!+", "shit"), ("iiddiioott", "idiot"), ("s  t  u  p  i  d", "stupid")])
 def test_obfuscated_words_are_restored(written, meant):
     rng = random.Random(1)
-    words = ["idiot", "stupid", "trash", "the", "good", "people", "tree", "is", "all"]
+    words = ["idiot", "stupid", "trash", "shit", "ass", "the", "good", "people", "tree", "is", "all"]
     model = toxicity.CharacterModel(toxicity.trigram_counts([" ".join(rng.choices(words, k=4000))]))
     assert toxicity.Restorer(model)(f"the {written} is good") == f"the {meant} is good"
     assert toxicity.Restorer(model)("the good tree is 42, all!") == "the good tree is 42, all!"
+    assert toxicity.Restorer(model)("bookkeeper") == "bookkeeper" and toxicity.Restorer(model)("a b") == "a b"
+
+
+def test_training_texts_are_bounded_by_rows(spark):
+    rows = [(1, f"vile text number {k}", "en", "a") for k in range(500)] + [(k, f"fine text number {k}", "en", "a") for k in range(2, 40)]
+    marks = spark.createDataFrame([(k, int(k == 1)) for k in range(1, 40)], "doc_id long, toxic int")
+    model = toxicity.learn_toxicity(frame(spark, rows), marks, rows=20)
+    assert len(model.bucket) == 0  # one text of id 1 teaches, and a feature needs three toxic texts
 
 
 def test_viterbi_finds_the_best_path():
@@ -437,6 +445,32 @@ def test_short_items_and_scripts_without_blanks_are_searched(spark):
     assert got == [(1, 1, 1, 2, 3 + len(long)), (2, 2, 0, 6, 23), (3, 3, 0, 2, 4), (5, 5, 1, 3, 22)]
 
 
+def test_short_items_are_not_found_inside_words(spark):
+    items = [(1, "x"), (2, "cat"), (3, "京")]
+    rows = [(1, "box of wax", "en", "a"), (2, "concatenate a cat", "en", "a"), (3, "東京都x", "ja", "a"), (4, "x, y", "en", "a"), (5, "category", "en", "a")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = sorted(tuple(r) for r in decontamination.leak_report(frame(spark, rows), bench).collect())
+    assert got == [(2, 2, 0, 14, 17), (3, 1, 0, 3, 4), (3, 3, 0, 1, 2), (4, 1, 0, 0, 1)]
+
+
+def test_blocks_of_items_give_the_marks_of_one_search(spark):
+    rng = random.Random(3)
+    items = [(k // 2, sentences(rng, 12)) for k in range(30)]  # two texts for each id
+    rows = [(k, sentences(rng, 20) + " " + rng.choice(items)[1] + " " + items[k % 30][1][1:], "en", "a") for k in range(50)]
+    rows += [(7, rows[7][1], "de", "b"), (None, rows[8][1], None, None), (90, None, None, None), (91, "", None, None)]
+    docs = frame(spark, rows).withColumn("a.b", F.col("doc_id")).withColumn("_text", F.lit("own")).withColumn("leaks", F.lit(1))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    one = decontamination.mark_leaks(docs, bench)
+    many = decontamination.mark_leaks(docs, bench, block_bytes=300)
+    assert many.columns == one.columns and many.schema["leaks"].dataType.simpleString() == one.schema["leaks"].dataType.simpleString()
+    assert sorted(map(str, one.collect())) == sorted(map(str, many.collect()))
+    assert one.where(F.size("leaks") > 0).count() >= 50
+    decontamination._SEARCHES.clear()
+    for name in ("one", "two", "two"):
+        decontamination.searches_of(name, items, 0.05)
+    assert list(decontamination._SEARCHES) == ["two"]  # a worker holds one block's search
+
+
 def test_prefix_token_counts_are_exact(spark):
     tokenizers = pytest.importorskip("tokenizers")
     library = tokenizers.Tokenizer.from_file(token_counts.default_vocabulary())
