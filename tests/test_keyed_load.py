@@ -149,3 +149,14 @@ def test_empty_files(spark, folders):
     assert load_batch(spark, os.path.join(src, "none"), root) is None
     load_batch(spark, src, root)
     assert load_report(spark, root).collect() == []
+
+
+def test_rows_move_as_the_text_of_their_file(spark, folders):
+    src, root = folders
+    put(src, "fact_orders", [sale(1), sale(1), sale(2, product_price="ten")])
+    spec = SPECS["fact_orders"]
+    raw = keyed_load.read_raw(spark, spec, src)
+    judged = keyed_load._Load(spark, root).judged(raw, spec, {f.name: f.dataType for f in spec.struct.fields})
+    assert judged.columns == [*raw.columns, "outcome", "times"]  # neither typed values nor a line beside the fields
+    got = sorted((r["order_id"], r["outcome"], r["times"]) for r in judged.collect())
+    assert got == [("1", "retailer_id: no dim_retailers", 2), ("2", "product_price: not decimal(10,2)", 1)]
